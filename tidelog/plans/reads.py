@@ -223,14 +223,14 @@ def set_intersect(fx: Fixtures):
 
 # One emission follows from the one before: the pause's end, or the next event if that is later.
 THROTTLED = """
- ev AS (SELECT watcher, epoch_us(ts) AS at, seq FROM {fx_changes} WHERE $FILTER),
+ ev AS (SELECT watcher, epoch_us(ts) AS at_us, seq FROM {fx_changes} WHERE $FILTER),
  emitted(watcher, emitted_at, seq) AS (
-   SELECT watcher, min(at), min(seq) FROM ev GROUP BY watcher
+   SELECT watcher, min(at_us), min(seq) FROM ev GROUP BY watcher
    UNION ALL
    SELECT n.watcher, n.next_at, max(v.seq) FROM (
-       SELECT m.watcher, greatest(m.emitted_at + $PAUSE, min(v.at)) AS next_at FROM emitted m JOIN ev v ON v.watcher = m.watcher AND v.seq > m.seq
+       SELECT m.watcher, greatest(m.emitted_at + $PAUSE, min(v.at_us)) AS next_at FROM emitted m JOIN ev v ON v.watcher = m.watcher AND v.seq > m.seq
        GROUP BY m.watcher, m.emitted_at) n
-     JOIN ev v ON v.watcher = n.watcher AND v.at <= n.next_at GROUP BY n.watcher, n.next_at)
+     JOIN ev v ON v.watcher = n.watcher AND v.at_us <= n.next_at GROUP BY n.watcher, n.next_at)
 """
 
 

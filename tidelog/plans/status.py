@@ -171,11 +171,11 @@ def _many_streams(fx: Fixtures):
 
 @query(
     "subscription_expiry",
-    "WITH ev AS (SELECT * REPLACE (concat(stream, '/', CAST(handle AS VARCHAR)) AS stream), CAST(floor(epoch(ts)) AS BIGINT) AS at FROM {fx_subscription_events}), "
+    "WITH ev AS (SELECT * REPLACE (concat(stream, '/', CAST(handle AS VARCHAR)) AS stream), CAST(floor(epoch(ts)) AS BIGINT) AS at_s FROM {fx_subscription_events}), "
     + SUBSCRIPTIONS.replace("{fx_subscription_events}", "ev")
-    + """, expiring AS (SELECT s.stream, s.ref_count, s.ttl, s.priority, CASE WHEN ref_count = 0 THEN e.at + s.ttl END AS expires_at
+    + """, expiring AS (SELECT s.stream, s.ref_count, s.ttl, s.priority, CASE WHEN ref_count = 0 THEN e.at_s + s.ttl END AS expires_at
            FROM subs s LEFT JOIN ev e ON e.seq = s.last_closed)
-         SELECT * FROM expiring WHERE ref_count > 0 OR expires_at > (SELECT max(at) - 40000 FROM ev)""",
+         SELECT * FROM expiring WHERE ref_count > 0 OR expires_at > (SELECT max(at_s) - 40000 FROM ev)""",
 )
 def subscription_expiry(fx: Fixtures):
     events = _many_streams(fx)
