@@ -8,22 +8,24 @@ from pyspark.sql import functions as F
 from tidelog.operators.ordered import scan_before
 
 
-def checkpoint_history(checkpoints: DataFrame, diffs: DataFrame) -> DataFrame:
+def checkpoint_history(
+    checkpoints: DataFrame, diffs: DataFrame, lines: DataFrame | None = None
+) -> DataFrame:
     """Per checkpoint line, the buckets in force after it.
 
     ``checkpoints`` has ``(seq, bucket, priority, target_count, checksum)`` with a row per
     bucket of a full checkpoint line, ``diffs`` the same plus ``removed`` for diff lines. Lines
     are numbered densely; a bucket's entry is in force from its line up to the bucket's next
     entry or the next full checkpoint, and is written out once for each line in between.
+    ``lines`` has ``(seq, full)`` of every line and is needed when some name no bucket.
     """
     fields = ["priority", "target_count", "checksum"]
     entries = checkpoints.withColumn("removed", F.lit(False)).withColumn("full", F.lit(True)).unionByName(
         diffs.withColumn("full", F.lit(False))
     )
-    lines = entries.groupBy("seq").agg(F.max("full").alias("full"))
-    numbered = scan_before(
-        lines, "seq", sums={"line_no": F.lit(1).cast("bigint")}
-    )
+    if lines is None:
+        lines = entries.groupBy("seq").agg(F.max("full").alias("full"))
+    numbered = scan_before(lines, "seq", sums={"line_no": F.lit(1).cast("bigint")})
     # Backwards over the lines: the next full checkpoint of each, or the end of the feed.
     forward = scan_before(
         numbered.withColumn("_back", -F.col("line_no")),
@@ -31,11 +33,7 @@ def checkpoint_history(checkpoints: DataFrame, diffs: DataFrame) -> DataFrame:
         lasts={"next_full": F.when(F.col("full"), F.col("line_no"))},
     ).select("seq", "line_no", "next_full")
     end = lines.agg(F.count(F.lit(1)).alias("_n")).scalar()
-    placed = (
-        entries.drop("full")
-        .join(forward, "seq")
-        .withColumn("_back", -F.col("line_no"))
-    )
+    placed = entries.drop("full").join(forward, "seq").withColumn("_back", -F.col("line_no"))
     until = scan_before(placed, "_back", by=["bucket"], lasts={"next_entry": F.col("line_no")})
     stop = F.least(F.coalesce("next_entry", end), F.coalesce("next_full", end))
     return (
