@@ -65,13 +65,11 @@ def test_partial_checkpoints_publish_by_priority(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     feed.push(checkpoint(4, *[bucket(f"b{p}", p) for p in range(4)]))
     assert feed.names() == []
-    for p in range(4):
-        feed.push(put(f"b{p}", p + 1, str(p), f"user{p}"))
-        if p < 3:
-            feed.push(complete(4, p))
-            assert len(feed.names()) == p + 1
-        else:
-            assert len(feed.names()) == 3
+    for p in range(3):
+        feed.push(put(f"b{p}", p + 1, str(p), f"user{p}"), complete(4, p))
+        assert len(feed.names()) == p + 1
+    feed.push(put("b3", 4, "3", "user3"))
+    assert len(feed.names()) == 3
     feed.push(complete(4))
     assert feed.names() == ["user0", "user1", "user2", "user3"]
 
@@ -94,8 +92,7 @@ def test_untyped_rows_are_kept_apart(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     feed.push(checkpoint(2, bucket("a")), put("a", 1, "1", "one"), put("a", 2, "9", "x", row_type="later"), complete(2))
     assert feed.names() == ["one"]
-    version, paths = feed.applier.store.current()
-    assert feed.applier.store.read("untyped", paths).select("row_type", "row_id").collect() == [("later", "9")]
+    assert feed.applier.untyped().select("row_type", "row_id").collect() == [("later", "9")]
 
 
 def test_one_batch_equals_many(spark, tmp_path):
@@ -105,8 +102,8 @@ def test_one_batch_equals_many(spark, tmp_path):
     (tmp_path / "y").mkdir()
     one, many = Feed(spark, tmp_path / "x"), Feed(spark, tmp_path / "y")
     one.push(*lines)
-    for line in lines:
-        many.push(line)
+    for part in (lines[:3], lines[3:5], lines[5:]):
+        many.push(*part)
     assert one.names() == many.names() and len(one.names()) == 3
 
 
@@ -204,8 +201,11 @@ def test_transfer_files_and_listing(spark, tmp_path):
     assert {r[0] for r in local_files(spark, str(local)).collect()} == {"attachments/up.txt", "attachments/down.txt"}
 
 
+EPOCH = 1_700_000_000_000
+
+
 def subscription_rows(rows):
-    return [{"seq": s, "stream": st, "kind": k, "handle": h, "ttl": 10, "at_ms": ms} for s, st, k, h, ms in rows]
+    return [{"seq": s, "stream": st, "kind": k, "handle": h, "ttl": 10, "at_ms": EPOCH + ms} for s, st, k, h, ms in rows]
 
 
 def test_subscription_stream_counts_handles_and_evicts(spark, tmp_path):
@@ -237,7 +237,7 @@ def test_subscription_stream_counts_handles_and_evicts(spark, tmp_path):
             .start()
         )
         query.awaitTermination()
-        changes = {(r["stream"], r["kind"], r["at_ms"]) for r in spark.read.parquet(out).collect()}
+        changes = {(r["stream"], r["kind"], r["at_ms"] - EPOCH) for r in spark.read.parquet(out).collect()}
         assert changes == {
             ("a", "active", 0),
             ("a", "unreferenced", 2000),

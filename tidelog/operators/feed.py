@@ -62,10 +62,19 @@ def with_payload(winners: DataFrame, oplog: DataFrame) -> DataFrame:
     return winners.join(puts, "op_id").select("row_type", "row_id", "data")
 
 
-def live_puts(oplog: DataFrame) -> DataFrame:
-    """``(bucket, row_type, row_id, put)``: what each bucket holds after its newest ops."""
+def live_puts(oplog: DataFrame, buckets: DataFrame | None = None) -> DataFrame:
+    """``(bucket, row_type, row_id, put)``: what each bucket holds after its newest ops.
+
+    With ``buckets`` only those count. Membership and the newest CLEAR come from one lookup
+    per folded key, after the log has been reduced.
+    """
     held = newest_per_key(oplog).where(F.col("newest") == F.col("put"))
-    return drop_cleared(held.select("bucket", "row_type", "row_id", "put"), oplog, "put")
+    held = held.select("bucket", "row_type", "row_id", "put")
+    if buckets is None:
+        return drop_cleared(held, oplog, "put")
+    known = buckets.select("bucket").join(newest_clear(oplog), "bucket", "left")
+    joined = lookup_join(held, known, ["bucket"], "inner", spread=F.xxhash64("put"), key_sample=oplog)
+    return joined.where(F.col("cleared").isNull() | (F.col("put") > F.col("cleared"))).drop("cleared")
 
 
 def newest_put(held: DataFrame) -> DataFrame:
@@ -92,21 +101,9 @@ def checkpoint_cut(oplog: DataFrame, checkpoint: DataFrame) -> DataFrame:
 
 
 def checkpoint_rows(oplog: DataFrame, checkpoint: DataFrame) -> DataFrame:
-    """Current rows at a completed checkpoint.
-
-    The op id bound is applied while scanning. Bucket membership and CLEAR are decided per
-    folded key, after the log has been reduced.
-    """
+    """Current rows at a completed checkpoint; the op id bound is applied while scanning."""
     visible = oplog.where(F.col("op_id") <= last_op(checkpoint))
-    held = lookup_join(
-        live_puts(visible),
-        checkpoint.select("bucket"),
-        ["bucket"],
-        "left_semi",
-        spread=F.xxhash64("put"),
-        key_sample=visible,
-    )
-    return with_payload(newest_put(held), visible)
+    return with_payload(newest_put(live_puts(visible, checkpoint)), visible)
 
 
 def partial_cuts(

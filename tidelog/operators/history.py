@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.ordered import scan_before
+from tidelog.session import written
 
 
 def checkpoint_history(
@@ -27,11 +28,14 @@ def checkpoint_history(
         lines = entries.groupBy("seq").agg(F.max("full").alias("full"))
     numbered = scan_before(lines, "seq", sums={"line_no": F.lit(1).cast("bigint")})
     # Backwards over the lines: the next full checkpoint of each, or the end of the feed.
-    forward = scan_before(
-        numbered.withColumn("_back", -F.col("line_no")),
-        "_back",
-        lasts={"next_full": F.when(F.col("full"), F.col("line_no"))},
-    ).select("seq", "line_no", "next_full")
+    forward = written(
+        scan_before(
+            numbered.withColumn("_back", -F.col("line_no")),
+            "_back",
+            lasts={"next_full": F.when(F.col("full"), F.col("line_no"))},
+        ).select("seq", "line_no", "next_full"),
+        "history-lines",
+    )
     end = lines.agg(F.count(F.lit(1)).alias("_n")).scalar()
     placed = entries.drop("full").join(forward, "seq").withColumn("_back", -F.col("line_no"))
     until = scan_before(placed, "_back", by=["bucket"], lasts={"next_entry": F.col("line_no")})

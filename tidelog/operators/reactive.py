@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.scalars import friendly_table_name
 from tidelog.operators.ordered import scan_before
 from tidelog.operators.skew import lookup_join
+from tidelog.session import written
 
 
 def on_change(
@@ -46,11 +47,15 @@ def throttle(events: DataFrame, key: str, at: str, seq: str, pause: int) -> Data
     """
     cell = F.floor(F.col(at) / F.lit(pause)).cast("bigint")
     placed = events.select(F.col(key), F.col(at).alias("at"), F.col(seq).alias("seq"), cell.alias("cell"))
-    cells = placed.groupBy(key, "cell").agg(
-        F.min("at").alias("first"),
-        F.max("at").alias("last"),
-        F.min("seq").alias("first_seq"),
-        F.max("seq").alias("last_seq"),
+    # Written out, since three scans below start from the cells.
+    cells = written(
+        placed.groupBy(key, "cell").agg(
+            F.min("at").alias("first"),
+            F.max("at").alias("last"),
+            F.min("seq").alias("first_seq"),
+            F.max("seq").alias("last_seq"),
+        ),
+        "throttle-cells",
     )
     followed = scan_before(
         cells, "cell", by=[key], lasts={"prev": F.col("last"), "prev_seq": F.col("last_seq")}
@@ -81,8 +86,11 @@ def throttle(events: DataFrame, key: str, at: str, seq: str, pause: int) -> Data
 
     # Rows of a chain arrive in cell order and in batches, so a long chain needs no memory.
     ordered = chained.select(key, "chain", *fields).repartition(key, "chain").sortWithinPartitions(key, "chain", "cell")
-    grids = ordered.groupBy(key, "chain").applyInPandas(
-        walk, f"{key} {key_type}, cell bigint, grid bigint, grid_seq bigint"
+    grids = written(
+        ordered.groupBy(key, "chain").applyInPandas(
+            walk, f"{key} {key_type}, cell bigint, grid bigint, grid_seq bigint"
+        ),
+        "throttle-grids",
     )
     gridded = cells.select(key, "cell").join(grids, [key, "cell"], "left")
     filled = scan_before(

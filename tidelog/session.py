@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "tidelog", master: str | None = None, **conf: object) -> SparkSession:
@@ -42,3 +42,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         spark.conf.set("spark.checkpoint.dir", root)
     token = spark.range(1).selectExpr("replace(uuid(), '-', '') AS t").first()["t"]
     return f"{root.rstrip('/')}/{name}-{token}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: what is read more than once is computed once.
+
+    The table outlives the executors that wrote it, and its lineage is a file scan.
+    """
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -43,30 +44,38 @@ def transfer_plan(queue: DataFrame, local_dir: str, remote_dir: str) -> DataFram
     )
 
 
-def _transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _open(uri: str):
+    """The file system of a path and the path in it; a plain path is local."""
     from pyarrow import fs
 
-    def open_path(uri: str):
-        return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    return fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+
+
+def _replace(filesystem, path: str, chunks: Iterator[bytes]) -> int:
+    """Writes a file under a name of its own first: a lost task leaves no half-written target."""
+    filesystem.create_dir(path.rsplit("/", 1)[0], recursive=True)
+    partial, size = f"{path}.{uuid.uuid4().hex}.partial", 0
+    with filesystem.open_output_stream(partial) as writer:
+        for chunk in chunks:
+            writer.write(chunk)
+            size += len(chunk)
+    filesystem.move(partial, path)
+    return size
+
+
+def _transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    from pyarrow import fs
 
     def run(action: str, source: str, target: str) -> int:
-        target_fs, target_path = open_path(target)
+        target_fs, target_path = _open(target)
+        source_fs, source_path = _open(source)
         if action == "delete":
-            for filesystem, path in ((target_fs, target_path), open_path(source)):
+            for filesystem, path in ((target_fs, target_path), (source_fs, source_path)):
                 if filesystem.get_file_info(path).type != fs.FileType.NotFound:
                     filesystem.delete_file(path)
             return 0
-        source_fs, source_path = open_path(source)
-        target_fs.create_dir(target_path.rsplit("/", 1)[0], recursive=True)
-        size = 0
-        # Under a name of its own first: a lost task leaves no half-written target.
-        partial = f"{target_path}.partial"
-        with source_fs.open_input_stream(source_path) as reader, target_fs.open_output_stream(partial) as writer:
-            while chunk := reader.read(COPY_CHUNK):
-                writer.write(chunk)
-                size += len(chunk)
-        target_fs.move(partial, target_path)
-        return size
+        with source_fs.open_input_stream(source_path) as reader:
+            return _replace(target_fs, target_path, iter(lambda: reader.read(COPY_CHUNK), b""))
 
     for batch in batches:
         results = []
@@ -86,3 +95,22 @@ def transfer_files(plan: DataFrame, tasks: int | None = None) -> DataFrame:
     """
     width = tasks or int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return plan.repartition(width, "id").mapInPandas(_transfer, OUTCOME_SCHEMA)
+
+
+def save_files(rows: DataFrame, content: str, directory: str, suffix: str = "") -> DataFrame:
+    """Writes one file ``<id><suffix>`` per row; returns ``(id, ok, size, error)``."""
+    root = directory.rstrip("/")
+
+    def save(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            results = []
+            for id_, value in zip(batch["id"], batch[content]):
+                try:
+                    data = value.encode() if isinstance(value, str) else bytes(value)
+                    filesystem, path = _open(f"{root}/{id_}{suffix}")
+                    results.append((id_, True, _replace(filesystem, path, iter([data])), None))
+                except Exception as error:  # noqa: BLE001 - the outcome of the attempt
+                    results.append((id_, False, None, f"{type(error).__name__}: {error}"))
+            yield pd.DataFrame(results, columns=["id", "ok", "size", "error"]).astype({"size": "Int64"})
+
+    return rows.select("id", content).mapInPandas(save, OUTCOME_SCHEMA)

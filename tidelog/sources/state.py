@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from tidelog.operators.feed import declared_rows, untyped_rows
 from tidelog.schema import Schema
 
 COMMIT_SCHEMA = "version BIGINT, table_name STRING, path STRING"
@@ -74,11 +75,16 @@ class StateStore:
         commit.write.mode("append").parquet(self._commits)
 
 
-def publish_rows(store: StateStore, version: int, rows: DataFrame, schema: Schema, **others: DataFrame) -> None:
-    """Publishes folded rows by type; rows of undeclared types go to a table of their own."""
-    declared = F.col("row_type").isin(schema.declared_names)
-    store.publish(
-        version,
-        {"rows": rows.where(declared), "untyped": rows.where(~declared), **others},
-        partition_by={"rows": "row_type"},
-    )
+def publish_rows(store: StateStore, version: int, rows: DataFrame, **others: DataFrame) -> None:
+    """Publishes folded rows in one folder per row type, declared or not."""
+    store.publish(version, {"rows": rows, **others}, partition_by={"rows": "row_type"})
+
+
+def declared_table_rows(store: StateStore, schema: Schema) -> DataFrame:
+    """Published rows of declared types: only their folders are read."""
+    return declared_rows(store.read("rows"), schema)
+
+
+def undeclared_table_rows(store: StateStore, schema: Schema) -> DataFrame:
+    """Published rows kept apart until the schema has their type."""
+    return untyped_rows(store.read("rows"), schema)

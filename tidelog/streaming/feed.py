@@ -23,7 +23,12 @@ from tidelog.sources.lines import (
     explode_ops,
     number_lines,
 )
-from tidelog.sources.state import StateStore, publish_rows
+from tidelog.sources.state import (
+    StateStore,
+    declared_table_rows,
+    publish_rows,
+    undeclared_table_rows,
+)
 
 STREAM_LINE = "value STRING"
 # Lines of a micro-batch are numbered below this bound; the batch number is above it.
@@ -154,15 +159,17 @@ class FeedApplier:
         completions.write.mode("overwrite").parquet(self._path("completions", batch_id))
         if self.spark.read.parquet(self._path("completions", batch_id)).isEmpty():
             return
-        bounds = visible_bounds(self._all("targets"), self._all("completions"))
-        publish_rows(
-            self.store, batch_id, bounded_rows(self.oplog(), bounds), self.schema, bounds=bounds
-        )
+        bounds_path = self._path("bounds", batch_id)
+        visible_bounds(self._all("targets"), self._all("completions")).write.mode("overwrite").parquet(bounds_path)
+        bounds = self.spark.read.parquet(bounds_path)
+        publish_rows(self.store, batch_id, bounded_rows(self.oplog(), bounds), bounds=bounds)
 
     def rows(self) -> DataFrame | None:
         """The published rows of declared types, or None before the first completion."""
-        version, paths = self.store.current()
-        return None if version < 0 else self.store.read("rows", paths)
+        return None if self.store.current()[0] < 0 else declared_table_rows(self.store, self.schema)
+
+    def untyped(self) -> DataFrame:
+        return undeclared_table_rows(self.store, self.schema)
 
 
 def start_feed(
