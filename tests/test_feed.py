@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.operators import feed
+from tidelog.operators import feed, skew
 from tidelog.operators.history import checkpoint_history
 from tidelog.operators.ordered import scan_before
 from tidelog.operators.skew import heavy_keys, lookup_join
@@ -97,6 +97,12 @@ def test_fold_matches_brute_force_in_any_partitioning(spark, seed):
     assert state(feed.apply_oplog(oplog(spark, shuffled))) == expected
 
 
+def test_fold_with_large_lookups(spark, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 0)
+    rows = random_log(11)
+    assert state(feed.apply_oplog(oplog(spark, rows))) == brute_force(rows)
+
+
 def test_compacted_log_folds_to_the_same_rows(spark):
     log = oplog(spark, random_log(7))
     compacted = feed.compact_oplog(log)
@@ -142,7 +148,9 @@ def test_scan_before_crosses_ranges(spark, stride):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join_equals_a_plain_join_under_skew(spark, how):
+@pytest.mark.parametrize("broadcast_rows", [0, 100])
+def test_lookup_join_equals_a_plain_join_under_skew(spark, how, broadcast_rows, monkeypatch):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", broadcast_rows)
     rows = spark.range(2000).select(
         "id", F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 11 == 0, None).otherwise(F.col("id") % 40).alias("k")
     )

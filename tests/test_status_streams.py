@@ -106,7 +106,7 @@ def test_request_documents(spark):
     subs = spark.createDataFrame([("c", "stream", '{"foo":"a"}', None), ("c", "stream", '{"foo":"b"}', 1)], "client STRING, stream STRING, p STRING, priority INT")
     doc = subscriptions.subscription_request(subs.withColumn("parameters", F.parse_json("p")), "client", False).first()
     body = json.loads(doc["request"])
-    assert body["include_defaults"] is False
+    assert body["include_defaults"] is False and doc["part"] == 0
     items = [json.dumps(i, separators=(",", ":")) for i in body["subscriptions"]]
     assert sorted(items) == [
         '{"stream":"stream","parameters":{"foo":"a"},"override_priority":null}',

@@ -8,6 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import written
+
+# A lookup side is written out and counted; up to this many rows it is broadcast.
+BROADCAST_ROWS = 100_000
+
 # A key is heavy when it holds more than 1/HEAVY_SHARE of the rows, so that there are
 # fewer than HEAVY_SHARE heavy keys whatever the size of the data. This is the size bound
 # that allows them to be broadcast.
@@ -34,17 +39,22 @@ def lookup_join(
     spread: Column | None = None,
     key_sample: DataFrame | None = None,
 ) -> DataFrame:
-    """``rows`` joined with ``lookup`` on ``on``; rows of heavy keys are salted.
+    """``rows`` joined with ``lookup`` on ``on``, balanced whatever the keys of ``rows``.
 
-    Rows of a heavy key are dealt out to as many slices as there are shuffle partitions
-    and the matching lookup rows are repeated once per slice, so only the few heavy keys
-    are replicated. Rows with a NULL key match nothing and are dealt out the same way.
-    ``spread`` is what the slice is computed from (by default the whole row), and
-    ``key_sample`` may name a frame with the same key distribution that is cheaper to count.
+    The lookup side is computed once, into a table, and counted. If it is small it is broadcast
+    and ``rows`` are not shuffled at all. Otherwise rows of a heavy key are dealt out to as many
+    slices as there are shuffle partitions and the matching lookup rows are repeated once
+    per slice, so that only the few heavy keys are replicated. Rows with a NULL key match nothing
+    and are dealt out the same way. ``spread`` is what the slice is computed from (by default
+    the whole row), and ``key_sample`` may name a frame with the same key distribution that
+    is cheaper to count.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join keeps the rows of its left side; {how!r} does not")
     on = list(on)
+    lookup = written(lookup, "lookup")
+    if lookup.count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(lookup), on, how)
     salts = salt_count(rows)
     heavy = heavy_keys((key_sample or rows).select(*on), on).withColumn("_heavy", F.lit(True))
     deal = F.pmod(spread if spread is not None else F.xxhash64(*rows.columns), F.lit(salts)).cast("int")

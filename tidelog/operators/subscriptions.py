@@ -11,21 +11,23 @@ from tidelog.functions.scalars import FULL_SYNC
 from tidelog.operators.skew import lookup_join
 
 
-def open_handles(events: DataFrame) -> DataFrame:
+def open_handles(events: DataFrame, clock: str = "seq") -> DataFrame:
     """One row per ``(stream, handle)`` that was subscribed after the stream's last clear.
 
     ``open`` says whether the handle still counts: its newest subscribe comes after its newest
     unsubscribe. Repeated unsubscribes of a handle, and those of handles older than the last
-    unsubscribe-all, change nothing.
+    unsubscribe-all, change nothing. ``clock`` names the column that ``closed_at`` is taken from.
     """
     seq, kind = F.col("seq"), F.col("kind")
     subscribed = F.when(kind == "subscribe", seq)
+    unsubscribed = F.when(kind == "unsubscribe", seq)
     handles = (
         events.where(kind.isin("subscribe", "unsubscribe"))
         .groupBy("stream", "handle")
         .agg(
             F.max(subscribed).alias("opened"),
-            F.max(F.when(kind == "unsubscribe", seq)).alias("closed"),
+            F.max(unsubscribed).alias("closed"),
+            F.max_by(clock, unsubscribed).alias("closed_at"),
             F.max_by("ttl", subscribed).alias("ttl"),
             F.max_by("priority", subscribed).alias("priority"),
         )
@@ -41,23 +43,23 @@ def open_handles(events: DataFrame) -> DataFrame:
     )
 
 
-def subscription_state(events: DataFrame) -> DataFrame:
+def subscription_state(events: DataFrame, clock: str = "seq") -> DataFrame:
     """Per stream that has not been cleared: open handles, newest ttl and priority, last close."""
     return (
-        open_handles(events)
+        open_handles(events, clock)
         .groupBy("stream")
         .agg(
             F.sum(F.col("open").cast("bigint")).alias("ref_count"),
             F.max_by("ttl", "opened").alias("ttl"),
             F.max_by("priority", "opened").alias("priority"),
-            F.max(F.when(~F.col("open"), F.col("closed"))).alias("last_closed"),
+            F.max_by("closed_at", F.when(~F.col("open"), F.col("closed"))).alias("closed_at"),
         )
     )
 
 
 def subscription_fold(events: DataFrame) -> DataFrame:
     """Active subscriptions ``(stream, ref_count, ttl, priority)``: those with an open handle."""
-    return subscription_state(events).where(F.col("ref_count") > 0).drop("last_closed")
+    return subscription_state(events).where(F.col("ref_count") > 0).drop("closed_at")
 
 
 def subscription_expiry(events: DataFrame, now: Column, clock: str = "at") -> DataFrame:
@@ -66,14 +68,12 @@ def subscription_expiry(events: DataFrame, now: Column, clock: str = "at") -> Da
     ``clock`` names the events' time in epoch seconds. A referenced stream never expires; the
     others expire their ttl after the last unsubscribe, and expired ones are evicted.
     """
-    state = subscription_state(events)
-    closing = events.select(F.col("seq").alias("last_closed"), F.col(clock).alias("_closed_at"))
-    expires = F.when(F.col("ref_count") == 0, F.col("_closed_at") + F.col("ttl"))
+    expires = F.when(F.col("ref_count") == 0, F.col("closed_at") + F.col("ttl"))
     return (
-        state.join(closing, "last_closed", "left")
+        subscription_state(events, clock)
         .withColumn("expires_at", expires)
         .where((F.col("ref_count") > 0) | (F.col("expires_at") > now))
-        .select("stream", "ref_count", "ttl", "priority", "expires_at")
+        .drop("closed_at")
     )
 
 
@@ -93,19 +93,26 @@ def request_items(subscriptions: DataFrame) -> DataFrame:
     return subscriptions.withColumn("item", item)
 
 
-def subscription_request(subscriptions: DataFrame, client: str, include_defaults: bool = True) -> DataFrame:
+def subscription_request(
+    subscriptions: DataFrame, client: str, include_defaults: bool = True, per_document: int = 10_000
+) -> DataFrame:
     """The request document of each client.
 
-    A document is one request body. It grows with the distinct streams of one
-    client; use ``request_items`` where they are to be kept as rows.
+    A client with more than ``per_document`` subscriptions gets several documents, its
+    subscriptions being dealt out by hash, so that no document grows without bound.
     """
-    items = F.array_sort(F.collect_set("item"))
+    counts = subscriptions.groupBy(client).agg(F.ceil(F.count(F.lit(1)) / per_document).alias("_parts"))
+    dealt = lookup_join(request_items(subscriptions), counts, [client], "inner", spread=F.xxhash64("item"))
     body = F.concat(
         F.lit(f'{{"include_defaults":{str(include_defaults).lower()},"subscriptions":['),
-        F.concat_ws(",", items),
+        F.concat_ws(",", F.array_sort(F.collect_set("item"))),
         F.lit("]}"),
     )
-    return request_items(subscriptions).groupBy(client).agg(body.alias("request"))
+    return (
+        dealt.withColumn("part", F.pmod(F.xxhash64("item"), F.col("_parts")))
+        .groupBy(client, "part")
+        .agg(body.alias("request"))
+    )
 
 
 def stream_status(statuses: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -115,12 +122,14 @@ def stream_status(statuses: DataFrame, wanted: DataFrame) -> DataFrame:
     sides is canonical JSON text or NULL. Progress is shown only during a download, and a
     missing priority reads as the one of a full sync.
     """
-    named = wanted.select(
-        F.col("name").alias("_name"), F.col("parameters").alias("_parameters")
-    ).distinct()
-    match = (F.col("name") == F.col("_name")) & F.col("parameters").eqNullSafe(F.col("_parameters"))
+    # Absent parameters compare as the JSON text null.
+    stream_key = F.coalesce("parameters", F.lit("null")).alias("_parameters")
+    named = wanted.select("name", stream_key).distinct()
+    tracked = lookup_join(
+        statuses.withColumn("_parameters", stream_key), named, ["name", "_parameters"], "left_semi"
+    )
     shown = F.col("downloading")
-    return statuses.join(named, match, "left_semi").select(
+    return tracked.select(
         "name",
         "parameters",
         "active",

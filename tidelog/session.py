@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,8 +41,7 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="tidelog-")
         spark.conf.set("spark.checkpoint.dir", root)
-    token = spark.range(1).selectExpr("replace(uuid(), '-', '') AS t").first()["t"]
-    return f"{root.rstrip('/')}/{name}-{token}"
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

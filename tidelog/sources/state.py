@@ -52,27 +52,25 @@ class StateStore:
     ) -> None:
         """Makes ``version`` current: the given tables, and the others as they were.
 
-        Publishing the same version again, as a restarted micro-batch does, replaces its
-        folders and changes nothing else; an older version is ignored.
+        A table that is already published in this version is not written again, so a restarted
+        micro-batch changes nothing under its readers; an older version is ignored.
         """
         newest, paths = self.current()
         if version < newest:
             return
-        paths = dict(paths)
-        for name, df in tables.items():
-            path = f"{self.root}/tables/{name}/v={version}"
-            key = (partition_by or {}).get(name)
+        folder = {name: f"{self.root}/tables/{name}/v={version}" for name in tables}
+        missing = [name for name in tables if paths.get(name) != folder[name]]
+        for name in missing:
+            df, key = tables[name], (partition_by or {}).get(name)
             if key:
                 # Rebalancing splits a partition value that holds much of the data over files.
-                df.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(path)
+                df.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(folder[name])
             else:
-                df.write.mode("overwrite").parquet(path)
-            paths[name] = path
-        if version == newest and paths == self.current()[1]:
-            return
-        entries = [(version, name, path) for name, path in sorted(paths.items())]
-        commit = self.spark.createDataFrame(entries, COMMIT_SCHEMA).coalesce(1)
-        commit.write.mode("append").parquet(self._commits)
+                df.write.mode("overwrite").parquet(folder[name])
+        if missing:
+            entries = [(version, name, path) for name, path in sorted({**paths, **folder}.items())]
+            commit = self.spark.createDataFrame(entries, COMMIT_SCHEMA).coalesce(1)
+            commit.write.mode("append").parquet(self._commits)
 
 
 def publish_rows(store: StateStore, version: int, rows: DataFrame, **others: DataFrame) -> None:

@@ -93,11 +93,12 @@ def bounded_rows(oplog: DataFrame, bounds: DataFrame) -> DataFrame:
 class FeedApplier:
     """Stages and publishes a feed below one state folder."""
 
-    def __init__(self, spark: SparkSession, root: str, schema: Schema) -> None:
+    def __init__(self, spark: SparkSession, root: str, schema: Schema, compact_after: int = 100) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
         self.store = StateStore(spark, f"{self.root}/published")
+        self.compact_after = compact_after
 
     def _path(self, table: str, batch_id: int) -> str:
         return f"{self.root}/{table}/batch={batch_id}"
@@ -105,16 +106,23 @@ class FeedApplier:
     def _all(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{table}").drop("batch")
 
-    def oplog(self) -> DataFrame:
+    def oplog(self, upto_batch: int | None = None) -> DataFrame:
         """All ops that still matter: the compacted log, and the batches staged after it."""
         staged = self.spark.read.parquet(f"{self.root}/oplog")
-        version, paths = self.store.current()
-        if "compacted" not in paths:
+        if upto_batch is not None:
+            staged = staged.where(F.col("batch") <= upto_batch)
+        _, paths = self.store.current()
+        upto = self._compacted_upto(paths)
+        if upto < 0:
             return staged.drop("batch")
         compacted = self.store.read("compacted", paths)
-        upto = int(paths["compacted"].rsplit("v=", 1)[1])
         return compacted.unionByName(staged.where(F.col("batch") > upto).drop("batch"))
 
+    @staticmethod
+    def _compacted_upto(paths: dict[str, str]) -> int:
+        """The newest batch whose ops are in the compacted log, or -1."""
+        return int(paths["compacted"].rsplit("v=", 1)[1]) if "compacted" in paths else -1
+
     def compact(self) -> None:
         """Replaces the log up to the newest published batch by the ops that still matter.
 
@@ -122,8 +130,10 @@ class FeedApplier:
         until theirs are published.
         """
         version, paths = self.store.current()
+        if version < 0 or self._compacted_upto(paths) == version:
+            return
         bounds = self.store.read("bounds", paths).select("bucket", "last_op_id")
-        bounded = lookup_join(self.oplog(), bounds, ["bucket"], "left", spread=F.xxhash64("op_id"))
+        bounded = lookup_join(self.oplog(version), bounds, ["bucket"], "left", spread=F.xxhash64("op_id"))
         settled = F.coalesce(F.col("op_id") <= F.col("last_op_id"), F.lit(False))
         kept = compact_oplog(bounded.where(settled).drop("last_op_id"))
         pending = bounded.where(~settled).drop("last_op_id")
@@ -163,6 +173,8 @@ class FeedApplier:
         visible_bounds(self._all("targets"), self._all("completions")).write.mode("overwrite").parquet(bounds_path)
         bounds = self.spark.read.parquet(bounds_path)
         publish_rows(self.store, batch_id, bounded_rows(self.oplog(), bounds), bounds=bounds)
+        if batch_id - self._compacted_upto(self.store.current()[1]) >= self.compact_after:
+            self.compact()
 
     def rows(self) -> DataFrame | None:
         """The published rows of declared types, or None before the first completion."""
