@@ -2,25 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.operators.ordered import scan_before
 from tidelog.session import written
 
+STEP = 65_536
+
 
 def checkpoint_history(
-    checkpoints: DataFrame, diffs: DataFrame, lines: DataFrame | None = None
+    checkpoints: DataFrame,
+    diffs: DataFrame,
+    lines: DataFrame | None = None,
+    fields: Sequence[str] = ("priority", "target_count", "checksum"),
 ) -> DataFrame:
     """Per checkpoint line, the buckets in force after it.
 
-    ``checkpoints`` has ``(seq, bucket, priority, target_count, checksum)`` with a row per
+    ``checkpoints`` has ``(seq, bucket, *fields)`` with a row per
     bucket of a full checkpoint line, ``diffs`` the same plus ``removed`` for diff lines. Lines
     are numbered densely; a bucket's entry is in force from its line up to the bucket's next
     entry or the next full checkpoint, and is written out once for each line in between.
     ``lines`` has ``(seq, full)`` of every line and is needed when some name no bucket.
     """
-    fields = ["priority", "target_count", "checksum"]
     entries = checkpoints.withColumn("removed", F.lit(False)).withColumn("full", F.lit(True)).unionByName(
         diffs.withColumn("full", F.lit(False))
     )
@@ -40,13 +46,14 @@ def checkpoint_history(
     placed = entries.drop("full").join(forward, "seq").withColumn("_back", -F.col("line_no"))
     until = scan_before(placed, "_back", by=["bucket"], lasts={"next_entry": F.col("line_no")})
     stop = F.least(F.coalesce("next_entry", end), F.coalesce("next_full", end))
+    # In two steps, so that an entry in force for many lines is spread and needs no long array.
+    last = F.least(F.col("_from") + (STEP - 1), F.col("_stop") - 1)
     return (
         until.where(~F.col("removed"))
-        .select(
-            F.explode(F.sequence(F.col("line_no"), stop - 1)).alias("line_no"),
-            "bucket",
-            *fields,
-        )
+        .select("line_no", stop.alias("_stop"), "bucket", *fields)
+        .withColumn("_from", F.explode(F.sequence(F.col("line_no"), F.col("_stop") - 1, F.lit(STEP).cast("bigint"))))
+        .repartition("_from", "bucket")
+        .select(F.explode(F.sequence(F.col("_from"), last)).alias("line_no"), "bucket", *fields)
         .join(forward.select("line_no", "seq"), "line_no")
         .select("seq", "line_no", "bucket", *fields)
     )

@@ -134,6 +134,21 @@ def status_snapshot(statuses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def tracked_streams(statuses: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per stream a status JSON names, with whether a download is running."""
+    parsed = statuses.withColumn("_s", F.from_json("status", STATUS_SCHEMA))
+    streams = parsed.select(
+        *keep, F.col("_s.downloading").isNotNull().alias("downloading"), F.explode("_s.streams").alias("_t")
+    )
+    return streams.select(
+        *keep,
+        "downloading",
+        F.col("_t.*"),
+        F.col("_t.progress.downloaded").alias("downloaded"),
+        F.col("_t.progress.total").alias("total"),
+    ).drop("progress")
+
+
 def asof_priority(requests: DataFrame, entries: DataFrame, by: Sequence[str]) -> DataFrame:
     """Per ``(by, priority)`` request the entry with the smallest code >= the priority.
 

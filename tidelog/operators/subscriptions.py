@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.functions.json import params_to_json
 from tidelog.functions.scalars import FULL_SYNC
 from tidelog.operators.skew import lookup_join
 
@@ -173,9 +175,13 @@ def default_streams(defaults: DataFrame, explicit: DataFrame, include_defaults:
     )
 
 
-def canonical_parameters(parameters: Mapping[str, Column] | Sequence[tuple[str, Column]]) -> Column:
-    """Parameters as JSON text with sorted keys, fit for a join key."""
-    members = dict(parameters)
-    return F.to_json(
-        F.struct(*[members[n].alias(n) for n in sorted(members)]), {"ignoreNullFields": "false"}
-    )
+def canonical_parameters(parameters: Mapping[str, Column]) -> Column:
+    """Parameter columns as JSON text with sorted keys, fit for a join key."""
+    return params_to_json({name: parameters[name] for name in sorted(parameters)})
+
+
+def parameters_text(parameters: Mapping[str, object] | None) -> str | None:
+    """Parameter values of a caller as the same text; no parameters are not the empty object."""
+    if parameters is None:
+        return None
+    return json.dumps(parameters, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
