@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidelog.operators import feed, skew
+from tidelog.operators import feed, ordered, skew
 from tidelog.operators.history import checkpoint_history
 from tidelog.operators.ordered import scan_before
 from tidelog.operators.skew import heavy_keys, lookup_join
@@ -133,8 +133,9 @@ def test_checkpoint_history_with_empty_lines(spark):
     assert {tuple(r) for r in rows} == {(1, "a", 10), (1, "b", 5), (2, "a", 12), (2, "b", 5), (3, "a", 12)}
 
 
-@pytest.mark.parametrize("stride", [1, 997, 70_000, 2**37 + 5])
-def test_scan_before_crosses_ranges(spark, stride):
+@pytest.mark.parametrize("stride, top", [(1, 9), (997, 9), (70_000, 9), (2**37 + 5, 9), (70_000, 10**6)])
+def test_scan_before_crosses_ranges(spark, stride, top, monkeypatch):
+    monkeypatch.setattr(ordered, "TOP_ROWS", top)
     n = 300
     df = spark.range(n).select(
         (F.col("id") * stride - 1000).alias("at"), (F.col("id") % 3).alias("g"), F.when(F.col("id") % 4 == 0, F.col("id")).alias("v")

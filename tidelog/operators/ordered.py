@@ -2,8 +2,9 @@
 
 A window without a partition key puts every row into one task, and a window keyed by
 client or bucket does so for a hot key. Here the order is cut into ranges of ids. Each range is a
-window of its own; the ranges are summed up to one row each, and those rows are scanned the
-same way to find what precedes every range.
+window of its own; the ranges are summed up to one row each, in a table, and those rows are
+scanned the same way to find what precedes every range. ``df`` is computed twice for each scan,
+once for the sums and once for the rows.
 """
 
 from __future__ import annotations
@@ -15,11 +16,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidelog.session import written
+
 # Bits of the order value dropped at each level. With a unique order a leaf window holds at
 # most 2**16 rows, and a window over range summaries at most 2**20 rows; the last level
 # has one row per 2**36 order values.
 LEVEL_BITS = (16, 36)
 
+# Up to this many range summaries are scanned in one window per key and broadcast.
+TOP_ROWS = 100_000
+
 
 def scan_before(
     df: DataFrame,
@@ -60,14 +66,17 @@ def _scan(
             for n in lasts
         ],
     )
-    deeper = tuple(b - bits[0] for b in bits[1:])
+    # Written out: the ranges are summed up once, and their number decides how to go on.
+    summary = written(summary, "ranges")
+    few = summary.count() <= TOP_ROWS
+    deeper = () if few else tuple(b - bits[0] for b in bits[1:])
     outer = _scan(summary, level, by, sums, lasts, deeper).select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         *[F.col(n).alias(f"_before_{n}") for n in sums + lasts],
     )
     # Plain equality on the window's own keys: the join reuses the window's partitioning.
     match = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
-    joined = inner.join(outer, match, "left")
+    joined = inner.join(F.broadcast(outer) if few else outer, match, "left")
     merged = {
         **{n: F.col(n) + F.coalesce(F.col(f"_before_{n}"), F.lit(0)) for n in sums},
         **{n: F.coalesce(F.col(n), F.col(f"_before_{n}")) for n in lasts},
