@@ -13,7 +13,7 @@ def spark(tmp_path_factory):
     session = build_session(
         master="local[8]",
         **{
-            "spark.sql.shuffle.partitions": 4,
+            "spark.sql.shuffle.partitions": 2,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

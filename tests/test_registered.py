@@ -23,8 +23,9 @@ def test_query_equals_its_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SF_DIR), con, TEXTS[name]) == []
 
 
-def test_every_query_has_sql():
-    assert set(QUERIES) == set(TEXTS)
+def test_queries_without_sql_run(spark):
+    assert set(QUERIES) - set(TEXTS) == {"feed_timeline"}
+    assert QUERIES["feed_timeline"](spark, SF_DIR).count() > 0
 
 
 def test_flagship_query_has_rows(spark):

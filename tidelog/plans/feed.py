@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidelog.functions.json import json_columns, json_extract_cast
-from tidelog.operators import feed, history, tables
+from tidelog.operators import feed, history, tables, timeline
 from tidelog.plans.fixtures import Fixtures
 from tidelog.plans.registry import query
 from tidelog.schema import ID, REST, Column, RawSchema, RawTable, Schema, Table, from_column
@@ -234,21 +234,46 @@ HISTORY_ENTRIES = """
      FROM latest l JOIN entries e ON e.seq = l.entry_seq AND e.bucket = l.bucket WHERE NOT e.removed""",
 )
 def checkpoint_history(fx: Fixtures):
-    e = fx.events
-    bucket_of = lambda offset: F.concat(F.lit("h"), ((F.col("user_id") + offset) % 7).cast("string"))
-    columns = lambda offset: [
-        F.col("event_id").alias("seq"),
-        bucket_of(offset).alias("bucket"),
-        (F.col("user_id") % 4).cast("int").alias("priority"),
-        (F.col("event_id") + offset).alias("target_count"),
-        F.col("user_id").alias("checksum"),
-    ]
-    full = e.where(F.col("event_id") % 50 == 0).withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(2))))
-    diffs = e.where((F.col("event_id") % 10 == 0) & (F.col("event_id") % 50 != 0))
-    return history.checkpoint_history(
-        full.select(*columns(F.col("d"))),
-        diffs.select(*columns(F.lit(0)), (F.col("user_id") % 3 == 0).alias("removed")),
+    full, diffs = _checkpoint_lines(fx)
+    return history.checkpoint_history(full, diffs)
+
+
+def _checkpoint_lines(fx: Fixtures):
+    def columns(offset):
+        return [
+            F.col("event_id").alias("seq"),
+            F.concat(F.lit("h"), ((F.col("user_id") + offset) % 7).cast("string")).alias("bucket"),
+            (F.col("user_id") % 4).cast("int").alias("priority"),
+            (F.col("event_id") + offset).alias("target_count"),
+            F.col("user_id").alias("checksum"),
+        ]
+
+    number = F.col("event_id")
+    full = fx.events.where(number % 50 == 0).withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    diffs = fx.events.where((number % 10 == 0) & (number % 50 != 0))
+    return full.select(*columns(F.col("d"))), diffs.select(*columns(F.lit(0)), (F.col("user_id") % 3 == 0).alias("removed"))
+
+
+@query("feed_timeline")
+def feed_timeline(fx: Fixtures):
+    """Every event is a line: checkpoints and diffs as above, some completions, the rest data.
+
+    Whether a bucket starts over depends on all its lines before, so there is no plain SQL; the
+    operator is compared with a line-by-line replay on small feeds.
+    """
+    full, diffs = _checkpoint_lines(fx)
+    targets = full.withColumns({"removed": F.lit(False), "full": F.lit(True)}).unionByName(
+        diffs.withColumn("full", F.lit(False))
+    )
+    number = F.col("event_id")
+    others = fx.events.where(number % 10 != 0)
+    done = others.where(number % 35 == 17).select(number.alias("seq"))
+    data = others.where(number % 35 != 17).select(
+        number.alias("seq"),
+        F.concat(F.lit("h"), (F.col("user_id") % 7).cast("string")).alias("bucket"),
+        (number % 5).alias("ops"),
     )
+    return timeline.feed_timeline(targets.drop("checksum"), data, done, (0, 1, 3))
 
 
 @query(
