@@ -1,6 +1,5 @@
 """Schema checks, reads, table views, throttling and edges."""
 
-import json
 import random
 
 import pytest

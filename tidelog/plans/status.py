@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.json import params_to_json
 from tidelog.functions.scalars import FULL_SYNC, epoch_to_timestamp, progress_fraction, timestamp_to_epoch
-from tidelog.operators import feed, status, subscriptions
+from tidelog.operators import status, subscriptions
 from tidelog.plans.fixtures import Fixtures
 from tidelog.plans.registry import query
 
