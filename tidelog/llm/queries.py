@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidelog.llm.probminhash import near_duplicates
+from tidelog.llm.tokenfile import read_blocks, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,3 +28,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the class of its near-duplicates."""
     members, _ = near_duplicates(_table(spark, sf_dir, "documents"))
     return members.select("doc_id", "class_id", "class_size")
+
+
+@_query
+def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, size and checksum, read back from the token files."""
+    path = token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return read_blocks(spark, path, with_ids=False)
