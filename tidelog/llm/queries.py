@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tidelog.llm.decontam import contaminated
 from tidelog.llm.probminhash import near_duplicates
 from tidelog.llm.tokenfile import read_blocks, token_files
 
@@ -35,3 +36,9 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, size and checksum, read back from the token files."""
     path = token_files(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
     return read_blocks(spark, path, with_ids=False)
+
+
+@_query
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the nearest passage."""
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
