@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelog.llm.decontam import contaminated
 from tidelog.llm.probminhash import near_duplicates
 from tidelog.llm.tokenfile import read_blocks, token_files
+from tidelog.llm.urlrules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,3 +43,24 @@ def op5_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the nearest passage."""
     return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+@_query
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the nested rules."""
+    return judge(_table(spark, sf_dir, "pages"), spark.createDataFrame(RULES, "host string, path string, verdict string"))
+
+
+_FITS = " ".join(
+    f"WHEN (host = '{host}' OR ends_with(host, '.{host}')) AND starts_with(path, '{path}') THEN '{verdict} {host}{path}'"
+    for host, path, verdict in sorted(RULES, key=lambda r: -len(r[0] + r[1]))
+)
+ORACLES["op7_url_rules"] = f"""
+WITH rest AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+judged AS (SELECT *, CASE {_FITS} END AS best FROM parts)
+SELECT page_id, host, path, split_part(best, ' ', 2) AS rule, coalesce(split_part(best, ' ', 1), 'allow') AS verdict FROM judged"""
