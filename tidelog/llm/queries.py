@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.llm.decontam import contaminated
 from tidelog.llm.probminhash import near_duplicates
+from tidelog.llm.raking import ROUNDS, mix
 from tidelog.llm.tokenfile import read_blocks, token_files
 from tidelog.llm.urlrules import judge
 
@@ -64,3 +66,51 @@ parts AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCD
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
 judged AS (SELECT *, CASE {_FITS} END AS best FROM parts)
 SELECT page_id, host, path, split_part(best, ' ', 2) AS rule, coalesce(split_part(best, ' ', 1), 'allow') AS verdict FROM judged"""
+
+
+#: Sources and topics are tempered, languages have stated shares.
+MIX = {"source": 0.5, "lang": {"en": 0.5, "de": 0.18, "fr": 0.18, "es": 0.14}, "topic": 0.8}
+
+
+@_query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents drawn to meet the target shares, with their probabilities."""
+    drawn = mix(_table(spark, sf_dir, "documents"), MIX)
+    return drawn.withColumn("probability", F.round("probability", 6))
+
+
+def _mix_sql() -> str:
+    signs = "length(t) - length(translate(t, '%$#*&@|<>{}=_~^+', ''))"
+    digits = "length(t) - length(translate(t, '0123456789', ''))"
+    parts = [
+        "d AS (SELECT doc_id, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang, coalesce(text, '') AS t FROM documents)",
+        f"""r AS MATERIALIZED (SELECT doc_id, source, lang, CASE WHEN ({signs}) * 100 > length(t) * 8 THEN 'symbols' WHEN ({digits}) * 100 > length(t)
+          THEN 'figures' WHEN length(t) > 5000 THEN 'long' ELSE 'prose' END AS topic,
+          len(regexp_extract_all(t, '[^ \\t\\n\\r]+')) AS n_tokens FROM d)""",
+        "c0 AS MATERIALIZED (SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens, 1.0::DOUBLE AS factor FROM r GROUP BY ALL)",
+    ]
+    for margin, target in MIX.items():
+        if isinstance(target, dict):
+            cases = " ".join(f"WHEN '{v}' THEN {x}::DOUBLE" for v, x in target.items())
+            share = f"CASE {margin} {cases} ELSE sum(tokens) / (SELECT sum(tokens) FROM c0) END"
+        else:
+            share = f"pow(sum(tokens), {target}::DOUBLE)"
+        parts.append(f"s_{margin} AS (SELECT {margin}, {share} AS share FROM c0 GROUP BY {margin})")
+        parts.append(
+            f"g_{margin} AS MATERIALIZED (SELECT {margin}, share / (SELECT sum(share) FROM s_{margin}) * (SELECT sum(tokens) FROM c0) AS target FROM s_{margin})"
+        )
+    n = 0
+    for _ in range(ROUNDS):
+        for margin in MIX:
+            parts.append(
+                f"""c{n + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, factor * CASE WHEN now > 0 THEN target / now ELSE 1 END AS factor
+                FROM c{n} JOIN (SELECT {margin}, sum(tokens * factor) AS now FROM c{n} GROUP BY {margin}) USING ({margin}) JOIN g_{margin} USING ({margin}))"""
+            )
+            n += 1
+    return f"""WITH {", ".join(parts)}
+    SELECT doc_id, source, lang, topic, n_tokens, round(factor / (SELECT max(factor) FROM c{n}), 6) AS probability
+    FROM r JOIN c{n} USING (source, lang, topic)
+    WHERE ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE < factor / (SELECT max(factor) FROM c{n})"""
+
+
+ORACLES["op2_mixing"] = _mix_sql()
