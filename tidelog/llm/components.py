@@ -29,8 +29,7 @@ def connected(links: DataFrame) -> DataFrame:
     Large-star and small-star steps are repeated until the links no longer change; every
     step is a grouping with partial results and a join, and is written to the shared folder.
     """
-    edges = written(links.select("a", "b").where("a <> b").distinct(), "component-links")
-    seen = None
+    edges, seen = links.select("a", "b").where("a <> b").distinct(), None
     while True:
         edges = written(_star(_star(edges, True), False), "component-links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()

@@ -7,10 +7,10 @@ probability Jaccard similarity, sum over shared i of 1 / sum_j max(x_j / x_i, y_
 Jaccard similarity when all weights are 1. Arrivals later than the last first arrival change nothing,
 so a shingle stops there.
 
-Documents that agree in all registers of a band are candidates. A bucket of candidates is compared
-with one hub, not with itself; only what the hub leaves unconnected is compared with further hubs,
-until every bucket is one component or has no pair left, so that no link is lost. Candidates whose
-signatures rule the threshold out are dropped, the others are verified on their whole texts.
+Documents that agree in all registers of a band are candidates. A bucket of candidates is first compared
+with one hub; buckets that this leaves in several components are compared in blocks by their
+signatures, so that no link between two components is lost. Candidates whose signatures rule the
+threshold out are dropped, the others are verified on their whole texts.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import connected
@@ -32,8 +32,8 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 #: How far below the threshold an estimate may lie: over five standard deviations of 96 registers.
 MARGIN = 0.22
-#: Hubs of one bucket compared in one of the later rounds.
-HUBS = 32
+#: Nodes of a bucket that are compared with each other in one step.
+BLOCK = 256
 SLICE_BYTES = 3_000_000
 
 _ARRIVAL = np.uint64(0xA0761D6478BD642F)
@@ -154,6 +154,61 @@ def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _alike(batches: Iterator[pa.RecordBatch], threshold: float = THRESHOLD) -> Iterator[pa.RecordBatch]:
+    """Pairs of nodes with different labels and a high enough estimate, from rows sorted by cell."""
+
+    def pairs(cell: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), np.uint32).reshape(cell.num_rows, REGISTERS)
+        label = cell.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+        block = cell.column("block").to_numpy()
+        across = cell.column("i")[0].as_py() != cell.column("j")[0].as_py()
+        for r in range(cell.num_rows - 1):
+            fits = (label[r + 1 :] != label[r]) & ((sig[r + 1 :] == sig[r]).mean(1) >= threshold - MARGIN)
+            if across:
+                fits &= block[r + 1 :] != block[r]
+            if fits.any():
+                others = np.flatnonzero(fits) + r + 1
+                yield np.full(len(others), r), others
+
+    def found(cell: pa.Table) -> pa.RecordBatch | None:
+        parts = list(pairs(cell))
+        if not parts:
+            return None
+        node = cell.column("node").combine_chunks()
+        sides = [node.take(pa.array(np.concatenate(x))) for x in zip(*parts)]
+        return pa.RecordBatch.from_arrays(sides, ["x", "y"])
+
+    held: pa.Table | None = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([held, table]) if held is not None else table
+        keys = [table.column(c).to_numpy() for c in ("band", "i", "j")]
+        new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
+        bounds = [0, *new.tolist()]
+        for low, high in zip(bounds, bounds[1:]):
+            if (out := found(table.slice(low, high - low))) is not None:
+                yield out
+        held = table.slice(bounds[-1])
+    if held is not None and held.num_rows and (out := found(held)) is not None:
+        yield out
+
+
+def _compared(rest: DataFrame, threshold: float) -> DataFrame:
+    """The likely pairs of each bucket of ``rest`` (``band``, ``size``, ``node``, ``label``, ``sig``).
+
+    A bucket is cut into blocks of about ``BLOCK`` nodes; each pair of blocks is a cell of its own, so no
+    task holds a bucket, and only pairs that pass leave it.
+    """
+    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    cells = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    cells = cells.select("band", "node", "label", "sig", "block", other)
+    cells = cells.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "sig")
+    dealt = cells.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    alike = dealt.mapInArrow(lambda batches: _alike(batches, threshold), "x binary, y binary")
+    return alike.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs at or above the threshold: first by signature, then on the whole texts."""
     sig = nodes.select("node", "sig")
@@ -200,40 +255,33 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     )
     width = 4 * ROWS
     band = F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 1 + b * width, width)) for b in range(BANDS)])
-    banded = nodes.where(F.col("sig").isNotNull()).select("node", F.explode(band).alias("band"))
-    shared = banded.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other")
-    active = written(banded.join(shared.select("band", "hub"), "band"), "near-buckets")
+    banded = written(nodes.where(F.col("sig").isNotNull()).select("node", F.explode(band).alias("band")), "near-bands")
+    sizes = banded.groupBy("band").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = written(banded.join(sizes, "band"), "near-buckets")
 
-    pairs = active.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    # A bucket's hub is the node with the most company in all its buckets: the text that others are copies of.
+    company = shared.groupBy("node").agg(F.sum("size").alias("company"))
+    hubs = shared.join(company, "node").groupBy("band").agg(F.max(F.struct("company", "node")).alias("hub"))
+    pairs = (
+        shared.join(hubs.select("band", F.col("hub.node").alias("hub")), "band")
+        .where("node <> hub")
+        .select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+        .distinct()
+    )
+    pairs = written(pairs, "near-pairs")
     links = _verify(pairs, nodes, texts, threshold)
     labels = connected(links)
-    checked = pairs
-    active = active.where("node <> hub").select("band", "node")
-    while True:
-        # Buckets that still hold two components, without the hubs that were compared with all of them.
-        labelled = written(
-            active.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label")), "near-open"
-        )
-        split = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
-        active = written(labelled.join(split.select("band"), "band", "left_semi"), "near-open")
-        if active.isEmpty():
-            break
-        order = Window.partitionBy("band").orderBy("node")
-        hubs = written(
-            active.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= HUBS), "near-hubs"
-        )
-        pairs = (
-            active.join(hubs.select("band", F.col("node").alias("hub"), F.col("label").alias("hub_label")), "band")
-            .where("node > hub and label <> hub_label")
-            .select(F.col("hub").alias("a"), F.col("node").alias("b"))
-            .distinct()
-            .join(checked, ["a", "b"], "left_anti")
-        )
-        pairs = written(pairs, "near-pairs")
-        links = links.union(_verify(pairs, nodes, texts, threshold))
-        checked = checked.union(pairs)
-        labels = connected(links)
-        active = active.select("band", "node").join(hubs.select("band", "node"), ["band", "node"], "left_anti")
+
+    # Buckets that still hold several components are compared in full, block by block.
+    labelled = shared.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
+    labelled = written(labelled, "near-open")
+    split = labelled.groupBy("band").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
+    ).where("low <> high")
+    rest = labelled.join(split.select("band", "size"), "band").join(nodes.select("node", "sig"), "node")
+    rest = written(_compared(rest, threshold).distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
+    links = links.union(_verify(rest, nodes, texts, threshold))
+    labels = connected(links)
 
     classed = nodes.join(labels, "node", "left").select("node", "first_id", "copies", F.coalesce("label", "node").alias("label"))
     classed = written(classed, "near-labels")
