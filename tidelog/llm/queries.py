@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from tidelog.llm.decontam import contaminated
 from tidelog.llm.probminhash import near_duplicates
 from tidelog.llm.raking import ROUNDS, mix
+from tidelog.llm.secretscan import BASE, secrets
+from tidelog.llm.spans import digest_columns
 from tidelog.llm.tokenfile import read_blocks, token_files
 from tidelog.llm.urlrules import judge
 
@@ -114,3 +116,10 @@ def _mix_sql() -> str:
 
 
 ORACLES["op2_mixing"] = _mix_sql()
+
+
+@_query
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets of every document."""
+    found = secrets(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *digest_columns(F.col("spans"), [r.kind for r in BASE]))
