@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm.decontam import contaminated
+from tidelog.llm.onebit import nearest
 from tidelog.llm.probminhash import near_duplicates
 from tidelog.llm.raking import ROUNDS, mix
 from tidelog.llm.secretscan import BASE, secrets
@@ -123,3 +124,9 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The secrets of every document."""
     found = secrets(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", *digest_columns(F.col("spans"), [r.kind for r in BASE]))
+
+
+@_query
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth vector."""
+    return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
