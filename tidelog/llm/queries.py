@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.llm.chat import read_chats, write_chats
 from tidelog.llm.decontam import contaminated
 from tidelog.llm.onebit import nearest
 from tidelog.llm.probminhash import near_duplicates
@@ -130,3 +131,13 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth vector."""
     return nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@_query
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's digests, read back from the formatted output."""
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
+    rows = _table(spark, sf_dir, "conversations").select(extra.columns).union(extra)
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return read_chats(spark, write_chats(rows, tokenizer), tokenizer)
