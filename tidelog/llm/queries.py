@@ -16,6 +16,7 @@ from tidelog.llm.raking import ROUNDS, mix
 from tidelog.llm.secretscan import BASE, secrets
 from tidelog.llm.spans import digest_columns
 from tidelog.llm.tokenfile import read_blocks, token_files
+from tidelog.llm.toxicity import held_out, score, trained
 from tidelog.llm.urlrules import judge
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,3 +142,12 @@ def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "conversations").select(extra.columns).union(extra)
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return read_chats(spark, write_chats(rows, tokenizer), tokenizer)
+
+
+@_query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity, learned from the labels of rows that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score(docs, trained(docs, _table(spark, sf_dir, "labels"))).withColumnRenamed("toxic_score", "score")
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
