@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidelog.llm.chat import read_chats, write_chats
 from tidelog.llm.decontam import contaminated
 from tidelog.llm.onebit import nearest
+from tidelog.llm.pii import BASE_KINDS, personal_data
 from tidelog.llm.probminhash import near_duplicates
 from tidelog.llm.raking import ROUNDS, mix
 from tidelog.llm.secretscan import BASE, secrets
@@ -151,3 +152,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score(docs, trained(docs, _table(spark, sf_dir, "labels"))).withColumnRenamed("toxic_score", "score")
     predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0)
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@_query
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data of every document."""
+    found = personal_data(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *digest_columns(F.col("spans"), BASE_KINDS))

@@ -16,6 +16,9 @@ def joined(spans: Column) -> Column:
 
 def digest_columns(spans: Column, base: Sequence[str]) -> list[Column]:
     """A count per base kind, the digest of the base spans, and all spans as text."""
-    counts = [F.size(F.filter(spans, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     kept = F.filter(spans, lambda s: s["kind"].isin(list(base)))
-    return [*counts, F.sha2(joined(kept).cast("binary"), 256).alias("base_sha256"), joined(spans).alias("spans")]
+    return [*map(count, base), F.sha2(joined(kept).cast("binary"), 256).alias("base_sha256"), joined(spans).alias("spans")]
