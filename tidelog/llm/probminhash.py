@@ -8,9 +8,9 @@ Jaccard similarity when all weights are 1. Arrivals later than the last first ar
 so a shingle stops there.
 
 Documents that agree in all registers of a band are candidates. A bucket of candidates is first compared
-with one hub; buckets that this leaves in several components are compared in blocks by their
-signatures, so that no link between two components is lost. Candidates whose signatures rule the
-threshold out are dropped, the others are verified on their whole texts.
+with one hub. Buckets that this leaves in several components are joined to groups and compared in blocks, so
+that no link between two components is lost. Candidates whose signatures rule the threshold out are
+dropped, the others are verified on their whole texts.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
 #: How far below the threshold an estimate may lie: over five standard deviations of 96 registers.
 MARGIN = 0.22
-#: Nodes of a bucket that are compared with each other in one step.
-BLOCK = 256
+#: Nodes of a group that are compared with each other in one step.
+BLOCK = 512
 SLICE_BYTES = 3_000_000
 
 _ARRIVAL = np.uint64(0xA0761D6478BD642F)
@@ -154,59 +154,83 @@ def _estimates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _alike(batches: Iterator[pa.RecordBatch], threshold: float = THRESHOLD) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes with different labels and a high enough estimate, from rows sorted by cell."""
-
-    def pairs(cell: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), np.uint32).reshape(cell.num_rows, REGISTERS)
-        label = cell.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-        block = cell.column("block").to_numpy()
-        across = cell.column("i")[0].as_py() != cell.column("j")[0].as_py()
-        for r in range(cell.num_rows - 1):
-            fits = (label[r + 1 :] != label[r]) & ((sig[r + 1 :] == sig[r]).mean(1) >= threshold - MARGIN)
-            if across:
-                fits &= block[r + 1 :] != block[r]
-            if fits.any():
-                others = np.flatnonzero(fits) + r + 1
-                yield np.full(len(others), r), others
-
-    def found(cell: pa.Table) -> pa.RecordBatch | None:
-        parts = list(pairs(cell))
-        if not parts:
-            return None
-        node = cell.column("node").combine_chunks()
-        sides = [node.take(pa.array(np.concatenate(x))) for x in zip(*parts)]
-        return pa.RecordBatch.from_arrays(sides, ["x", "y"])
-
+def _cell_links(cell: pa.Table, threshold: float) -> pa.RecordBatch | None:
+    """The verified links between different labels among the nodes of one cell."""
+    sig = np.frombuffer(b"".join(cell.column("sig").to_pylist()), np.uint32).reshape(cell.num_rows, REGISTERS)
+    label = cell.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+    block = cell.column("block").to_numpy()
+    across = cell.column("i")[0].as_py() != cell.column("j")[0].as_py()
+    rows, keys, counts = shingles(*column_bytes(cell.column("text").combine_chunks()), WORDS)
+    order = np.argsort(rows, kind="stable")
+    names, ids = np.unique(keys[order], return_inverse=True)
+    counts = counts[order].astype(np.float64)
+    start = np.searchsorted(rows[order], np.arange(cell.num_rows + 1))
+    size = np.diff(start)
+    weighted = np.maximum.reduceat(counts, start[:-1]) > 1
+    mark = np.zeros(len(names), bool)
+    found: list[tuple[int, int, float]] = []
+    for r in range(cell.num_rows - 1):
+        fits = (label[r + 1 :] != label[r]) & ((sig[r + 1 :] == sig[r]).mean(1) >= threshold - MARGIN)
+        if across:
+            fits &= block[r + 1 :] != block[r]
+        others = np.flatnonzero(fits) + r + 1
+        if not len(others):
+            continue
+        own = slice(start[r], start[r + 1])
+        mark[ids[own]] = True
+        for o in others.tolist():
+            its = slice(start[o], start[o + 1])
+            common = np.count_nonzero(mark[ids[its]])
+            value = common / (size[r] + size[o] - common)
+            if weighted[r] or weighted[o]:
+                both, at = np.unique(np.concatenate((ids[own], ids[its])), return_inverse=True)
+                x, y = np.zeros(len(both)), np.zeros(len(both))
+                x[at[: size[r]]], y[at[size[r] :]] = counts[own], counts[its]
+                value = probability_jaccard(x, y)
+            if value >= threshold:
+                found.append((r, o, float(value)))
+        mark[ids[own]] = False
+    if not found:
+        return None
+    node = cell.column("node").combine_chunks()
+    x, y, values = zip(*found)
+    return pa.RecordBatch.from_arrays([node.take(pa.array(x)), node.take(pa.array(y)), pa.array(values, pa.float64())], ["a", "b", "similarity"])
+
+
+def _in_cells(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by cell, one cell after the other."""
     held: pa.Table | None = None
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = pa.concat_tables([held, table]) if held is not None else table
-        keys = [table.column(c).to_numpy() for c in ("band", "i", "j")]
+        first = table.column("first").combine_chunks().dictionary_encode().indices.to_numpy()
+        keys = [first, table.column("i").to_numpy(), table.column("j").to_numpy()]
         new = np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in keys])) + 1
         bounds = [0, *new.tolist()]
         for low, high in zip(bounds, bounds[1:]):
-            if (out := found(table.slice(low, high - low))) is not None:
+            if (out := _cell_links(table.slice(low, high - low), threshold)) is not None:
                 yield out
         held = table.slice(bounds[-1])
-    if held is not None and held.num_rows and (out := found(held)) is not None:
+    if held is not None and held.num_rows and (out := _cell_links(held, threshold)) is not None:
         yield out
 
 
-def _compared(rest: DataFrame, threshold: float) -> DataFrame:
-    """The likely pairs of each bucket of ``rest`` (``band``, ``size``, ``node``, ``label``, ``sig``).
+def _between(rest: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The links between different labels in the groups of ``rest`` (``first``, ``node``, ``label``).
 
-    A bucket is cut into blocks of about ``BLOCK`` nodes; each pair of blocks is a cell of its own, so no
-    task holds a bucket, and only pairs that pass leave it.
+    A group is cut into blocks of about ``BLOCK`` nodes and each pair of blocks is a cell of its own, so no
+    task holds a group, and only links leave a cell.
     """
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+    one = texts.join(rest.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    sizes = rest.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    placed = rest.join(sizes, "first").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    full = placed.join(nodes.select("node", "sig"), "node").join(one, "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    cells = rest.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    cells = cells.select("band", "node", "label", "sig", "block", other)
-    cells = cells.select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "sig")
-    dealt = cells.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
-    alike = dealt.mapInArrow(lambda batches: _alike(batches, threshold), "x binary, y binary")
-    return alike.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+    cells = full.select("first", "node", "label", "sig", "text", "block", other)
+    cells = cells.select("first", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "label", "sig", "text")
+    dealt = cells.repartition("first", "i", "j").sortWithinPartitions("first", "i", "j")
+    links = dealt.mapInArrow(lambda batches: _in_cells(batches, threshold), "a binary, b binary, similarity double")
+    return written(links, "near-links")
 
 
 def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -272,15 +296,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     links = _verify(pairs, nodes, texts, threshold)
     labels = connected(links)
 
-    # Buckets that still hold several components are compared in full, block by block.
+    # Buckets that still hold several components: they and their neighbours are groups, compared in cells.
     labelled = shared.join(labels, "node", "left").select("band", "node", F.coalesce("label", "node").alias("label"))
     labelled = written(labelled, "near-open")
-    split = labelled.groupBy("band").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size")
-    ).where("low <> high")
-    rest = labelled.join(split.select("band", "size"), "band").join(nodes.select("node", "sig"), "node")
-    rest = written(_compared(rest, threshold).distinct().join(pairs, ["a", "b"], "left_anti"), "near-pairs")
-    links = links.union(_verify(rest, nodes, texts, threshold))
+    split = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("node").alias("center"))
+    split = split.where("low <> high").select("band", "center")
+    stars = written(labelled.join(split, "band").select(F.col("center").alias("a"), F.col("node").alias("b"), "label"), "near-stars")
+    groups = connected(stars.select("a", "b")).withColumnRenamed("label", "first")
+    rest = written(stars.select(F.col("b").alias("node"), "label").distinct().join(groups, "node"), "near-rest")
+    links = links.union(_between(rest, nodes, texts, threshold))
     labels = connected(links)
 
     classed = nodes.join(labels, "node", "left").select("node", "first_id", "copies", F.coalesce("label", "node").alias("label"))
