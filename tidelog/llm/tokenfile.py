@@ -132,16 +132,22 @@ def _encoder(path: str) -> PieceEncoder:
     return _encoders[path]
 
 
-def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """``doc_id`` and ``ids`` (little-endian unsigned 32-bit integers) of every row, ``end_id`` at the end."""
+def id_dtype(tokenizer_path: str, end_id: int) -> str:
+    """Unsigned integers that hold every id, used between the passes."""
+    return "<u2" if max(_encoder(tokenizer_path).tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
+
+
+def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: str) -> DataFrame:
+    """``doc_id`` and ``ids`` (integers of ``dtype``) of every row, ``end_id`` at the end."""
+    size = np.dtype(dtype).itemsize
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer_path)
         for whole in batches:
             for batch in slices(whole, 1, SLICE_BYTES):
                 ids, counts = encoder.encode(*column_bytes(batch.column(1)))
-                ids = np.insert(ids, np.cumsum(counts), end_id).astype("<u4")
-                ends = np.concatenate(([0], np.cumsum(counts + 1))) * 4
+                ids = np.insert(ids, np.cumsum(counts), end_id).astype(dtype)
+                ends = np.concatenate(([0], np.cumsum(counts + 1))) * size
                 packed = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays([batch.column(0), packed.cast(pa.binary())], ["doc_id", "ids"])
 
@@ -150,14 +156,14 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataF
     return rows.mapInArrow(encode, f"doc_id {id_type}, ids binary")
 
 
-def frequency_ranks(encoded: DataFrame) -> np.ndarray:
+def frequency_ranks(encoded: DataFrame, dtype: str) -> np.ndarray:
     """Ids by falling frequency, ties by id. There are no more of them than the vocabulary has."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for batch in batches:
             data, _ = column_bytes(batch.column(0).cast(pa.large_binary()).view(pa.large_string()))
-            seen = np.bincount(data.view("<u4")) if len(data) else np.zeros(0, np.int64)
+            seen = np.bincount(data.view(dtype)) if len(data) else np.zeros(0, np.int64)
             if len(seen) > len(total):
                 seen[: len(total)] += total
                 total = seen
@@ -205,7 +211,7 @@ def unpack(control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
     return ranks
 
 
-def write_blocks(encoded: DataFrame, path: str, by_rank: np.ndarray) -> None:
+def write_blocks(encoded: DataFrame, path: str, by_rank: np.ndarray, dtype: str) -> None:
     """Writes ``encoded`` below ``path`` in ascending doc_id order: shards by range, blocks in each.
 
     ``blocks`` has a row per block, committed by Spark's file writer: ``shard``, ``block``,
@@ -214,6 +220,7 @@ def write_blocks(encoded: DataFrame, path: str, by_rank: np.ndarray) -> None:
     the id of each rank.
     """
     spark = encoded.sparkSession
+    item = np.dtype(dtype).itemsize
     size = int(by_rank.max()) + 1 if len(by_rank) else 0
     ranks = np.zeros(size, np.uint32)
     ranks[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
@@ -234,10 +241,10 @@ def write_blocks(encoded: DataFrame, path: str, by_rank: np.ndarray) -> None:
         shard = TaskContext.get().partitionId()
         parts, held, block, start = [], 0, 0, 0
         for whole in batches:
-            for batch in slices(pa.RecordBatch.from_arrays([whole.column(0), whole.column(1).cast(pa.large_binary()).view(pa.large_string())], ["doc_id", "ids"]), 1, 4 * BLOCK_IDS):
+            for batch in slices(pa.RecordBatch.from_arrays([whole.column(0), whole.column(1).cast(pa.large_binary()).view(pa.large_string())], ["doc_id", "ids"]), 1, item * BLOCK_IDS):
                 data, offsets = column_bytes(batch.column(1))
-                parts.append((batch.column(0), np.diff(offsets) // 4, data.view("<u4")))
-                held += len(data) // 4
+                parts.append((batch.column(0), np.diff(offsets) // item, data.view(dtype)))
+                held += len(data) // item
                 if held >= BLOCK_IDS:
                     yield close(shard, block, start, parts)
                     parts, held, block, start = [], 0, block + 1, start + held
@@ -304,6 +311,7 @@ def token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | N
     """
     spark = docs.sparkSession
     path = path or shared_dir(spark, "token-files")
-    encoded = written(encode_documents(docs, tokenizer_path, end_id), "token-ids")
-    write_blocks(encoded, path, frequency_ranks(encoded))
+    dtype = id_dtype(tokenizer_path, end_id)
+    encoded = written(encode_documents(docs, tokenizer_path, end_id, dtype), "token-ids")
+    write_blocks(encoded, path, frequency_ranks(encoded, dtype), dtype)
     return path
