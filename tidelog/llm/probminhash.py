@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import connected
@@ -261,7 +261,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     """``(members, links)`` of the near-duplicate graph of ``docs`` (columns ``doc_id``, ``text``).
 
     ``members`` has one row per row of ``docs``: ``doc_id``, ``node`` (digest of the text), ``class_id``
-    (the smallest doc_id of its class) and ``class_size`` (rows of the class). ``links`` has the verified
+    (the smallest doc_id of its class), ``class_size`` (rows of the class) and ``kept`` (whether the row stands for its
+    class; repeated rows all do). ``links`` has the verified
     pairs of different texts, ``a``, ``b`` and ``similarity``.
 
     Equal texts are one node, so copies are never paired. A null text counts as empty; texts without
@@ -309,7 +310,20 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
 
     classed = nodes.join(labels, "node", "left").select("node", "first_id", "copies", F.coalesce("label", "node").alias("label"))
     classed = written(classed, "near-labels")
-    ids = classed.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    by_node = classed.join(ids, "label").select("node", "class_id", "class_size")
-    members = signed.select("doc_id", "node").join(by_node, "node").select("doc_id", "node", "class_id", "class_size")
-    return members, links
+    ids = classed.groupBy("label").agg(
+        F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct("first_id", "node")).alias("first")
+    )
+    by_node = classed.join(ids, "label").select("node", "class_id", "class_size", (F.col("node") == F.col("first.node")).alias("is_first"))
+    members = signed.select("doc_id", "node").join(by_node, "node")
+    return members.select("doc_id", "node", "class_id", "class_size", (F.col("is_first") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept")), links
+
+
+def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """One row of each class, with all columns: that of the smallest doc_id, and of repeated rows any one."""
+    members, _ = near_duplicates(docs, threshold)
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    wanted = members.where("kept").select(key.alias("__id"), F.col("node").alias("__node")).distinct()
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.withColumns({"__id": key, "__node": F.unhex(F.md5(text.cast("binary")))}).join(wanted, ["__id", "__node"])
+    turn = F.row_number().over(Window.partitionBy("__id", "__node").orderBy("__id"))
+    return rows.withColumn("__turn", turn).where("__turn = 1").select(*docs.columns)

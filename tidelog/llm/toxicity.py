@@ -363,13 +363,12 @@ def trained(docs: DataFrame, labels: DataFrame) -> Network:
     return fit(*training_rows(docs, labels, lambda doc_id: ~held_out(doc_id)))
 
 
-def score(docs: DataFrame, net: Network) -> DataFrame:
-    """``docs`` with a ``toxic_score`` in [0, 1] for every row; all columns stay.
+def score(docs: DataFrame, net: Network, name: str = "toxic_score") -> DataFrame:
+    """``docs`` with the score in [0, 1] of every row in the column ``name``; all other columns stay.
 
     A null or empty text, or one without words, is one empty window and gets the network's
     score of that. Texts are scored whole; repeated rows and null ids are scored like others.
     """
-    name = "toxic_score"
     rows = docs.drop(name).withColumn("__lower", F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     fields = [f for f in rows.schema.fields if f.name != "__lower"]
     schema = rows.select(*[f.name for f in fields]).withColumn(name, F.lit(0.0)).schema
