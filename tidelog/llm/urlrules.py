@@ -104,7 +104,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     rule_keys = clean.select(
         F.concat(_bytes(F.col("host")), split, _bytes(F.col("path"))).alias("key"), F.struct("host", "path", "verdict").alias("name")
     )
-    fits = sweep(pairs, rule_keys).where(F.size("stack") > 0).withColumn("best", F.element_at("stack", -1))
+    fits = sweep(pairs, rule_keys).where(F.size("stack") > 0).withColumn("best", F.try_element_at("stack", F.lit(-1)))
     size = F.struct(F.length("best.host") + F.length("best.path"), F.length("best.host"))
     chosen = fits.groupBy("host", "path").agg(F.max_by("best", size).alias("best"))
     judged = urls.join(chosen, ["host", "path"], "left")
