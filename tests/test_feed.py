@@ -138,9 +138,9 @@ def test_scan_before_crosses_ranges(spark, stride, top, monkeypatch):
     monkeypatch.setattr(ordered, "TOP_ROWS", top)
     n = 300
     df = spark.range(n).select(
-        (F.col("id") * stride - 1000).alias("at"), (F.col("id") % 3).alias("g"), F.when(F.col("id") % 4 == 0, F.col("id")).alias("v")
+        (F.col("id") * stride - 1000).alias("at"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"), F.when(F.col("id") % 4 == 0, F.col("id")).alias("v")
     ).repartition(4)
-    rows = scan_before(df, "at", by=["g"], sums={"s": F.col("g") + 1}, lasts={"l": F.col("v")}).orderBy("at").collect()
+    rows = scan_before(df, "at", by=["g"], sums={"s": F.coalesce("g", F.lit(0)) + 1}, lasts={"l": F.col("v")}).orderBy("at").collect()
     seen = {}
     for i, r in enumerate(rows):
         total, last = seen.get(i % 3, (0, None))

@@ -189,11 +189,11 @@ def test_runs_partition_a_queue_with_gaps_nulls_and_a_hot_transaction(spark):
     assert walked == list(range(start[0], start[1] + 1))
 
 
-def test_large_take_until_size_agrees_with_the_small_form(spark, monkeypatch):
+@pytest.mark.parametrize("size, taken", [(0, 0), (1, 1), (4, 2), (5, 3), (12, 5), (13, 5), (14, 5), (15, 6), (1000, 8)])
+def test_take_until_size_counts_entries_before_each_transaction(spark, size, taken):
     txs = queue.crud_transactions(crud(spark, [3, 1, 4, 1, 5, 9, 2, 6]))
-    small = {x["first_id"] for x in queue.take_until_size(txs, 12).collect()}
-    monkeypatch.setattr(queue, "TOP_K_BOUND", 0)
-    assert {x["first_id"] for x in queue.take_until_size(txs, 12).collect()} == small
+    first = sorted(x["first_id"] for x in txs.collect())
+    assert sorted(x["first_id"] for x in queue.take_until_size(txs, size).collect()) == first[:taken]
 
 
 def test_local_target(spark):

@@ -102,11 +102,20 @@ def test_expiry_runs_from_the_last_unsubscribe(spark):
     assert at(13) == {"b": None}
 
 
+def test_only_the_first_unsubscribe_closes_a_handle(spark):
+    log = events(spark, ("a", "subscribe", 1), ("a", "unsubscribe", 1), ("a", "unsubscribe", 1), ("a", "unsubscribe", 1))
+    once = events(spark, ("a", "subscribe", 1), ("a", "unsubscribe", 1))
+    expiry = [subscriptions.subscription_expiry(e, F.lit(0)).first()["expires_at"] for e in (log, once)]
+    assert expiry[0] == expiry[1]
+    again = events(spark, ("a", "subscribe", 1), ("a", "unsubscribe", 1), ("a", "subscribe", 1))
+    assert subscriptions.subscription_fold(again).first()["ref_count"] == 1
+
+
 def test_request_documents(spark):
     subs = spark.createDataFrame([("c", "stream", '{"foo":"a"}', None), ("c", "stream", '{"foo":"b"}', 1)], "client STRING, stream STRING, p STRING, priority INT")
     doc = subscriptions.subscription_request(subs.withColumn("parameters", F.parse_json("p")), "client", False).first()
     body = json.loads(doc["request"])
-    assert body["include_defaults"] is False and doc["part"] == 0
+    assert body["include_defaults"] is False
     items = [json.dumps(i, separators=(",", ":")) for i in body["subscriptions"]]
     assert sorted(items) == [
         '{"stream":"stream","parameters":{"foo":"a"},"override_priority":null}',

@@ -89,6 +89,19 @@ def test_redelivery_diffs_and_compaction(spark, tmp_path):
     assert feed.names() == ["three"]
 
 
+@pytest.mark.parametrize("batch_id", [1, 32767, 32768, 100_000])
+def test_later_batches_go_on_whatever_their_number(spark, tmp_path, batch_id):
+    applier = FeedApplier(spark, str(tmp_path / "state"), SCHEMA)
+
+    def apply(number, *lines):
+        rows = [(json.dumps(line), "f", 0) for line in lines]
+        applier.apply_batch(spark.createDataFrame(rows, "value STRING, file STRING, block BIGINT").coalesce(1), number)
+
+    apply(0, checkpoint(1, bucket("a")), put("a", 1, "1", "one"), complete(1))
+    apply(batch_id, checkpoint(2, bucket("b")), put("b", 2, "2", "two"), complete(2))
+    assert [json.loads(r["data"])["name"] for r in applier.rows().collect()] == ["two"]
+
+
 def test_untyped_rows_are_kept_apart(spark, tmp_path):
     feed = Feed(spark, tmp_path)
     feed.push(checkpoint(2, bucket("a")), put("a", 1, "1", "one"), put("a", 2, "9", "x", row_type="later"), complete(2))

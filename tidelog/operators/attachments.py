@@ -11,8 +11,6 @@ from tidelog.functions.scalars import attachment_filename
 QUEUED_DOWNLOAD, QUEUED_UPLOAD, QUEUED_DELETE, SYNCED, ARCHIVED = range(5)
 ACTIVE_STATES = (QUEUED_DOWNLOAD, QUEUED_UPLOAD, QUEUED_DELETE)
 DEFAULT_ARCHIVE_LIMIT = 100
-# Above this many kept rows the top-k is a range-partitioned sort and nothing is broadcast.
-TOP_K_BOUND = 100_000
 
 
 def reconcile_attachments(
@@ -23,14 +21,17 @@ def reconcile_attachments(
     New items are queued for download. An archived item that is watched again is synced if it
     was, else queued for upload or download by whether it has a local file. A row no
     longer watched is archived; one waiting for upload or deletion only if it has synced.
-    ``filename`` overrides how new items are named, as an expression over the watched columns.
+    ``filename`` overrides how new items are named, as an expression over the watched columns. When both sides
+    have ``meta_data``, a new item brings its own.
     """
+    described = "meta_data" in queue.columns and "meta_data" in watched.columns
     item = watched.select(
         "id",
         F.lit(True).alias("_watched"),
         (filename if filename is not None else attachment_filename(
             F.col("filename"), F.col("id"), F.col("file_extension")
         )).alias("_filename"),
+        *([F.col("meta_data").alias("_meta_data")] if described else []),
     )
     tracked = queue.withColumn("_tracked", F.lit(True))
     both = tracked.join(item, "id", "full_outer")
@@ -55,6 +56,7 @@ def reconcile_attachments(
                     "state": F.col("_new").cast("int").alias("state"),
                     "filename": F.coalesce("filename", "_filename").alias("filename"),
                     "has_synced": F.coalesce("has_synced", F.lit(False)).alias("has_synced"),
+                    **({"meta_data": F.coalesce("meta_data", "_meta_data").alias("meta_data")} if described else {}),
                 }.get(c, F.col(c))
                 for c in queue.columns
             ]
@@ -86,8 +88,6 @@ def archive_keep(queue: DataFrame, limit: int = DEFAULT_ARCHIVE_LIMIT) -> DataFr
 def archive_expiry(queue: DataFrame, limit: int = DEFAULT_ARCHIVE_LIMIT) -> DataFrame:
     """Archived rows beyond the newest ``limit``, which are to be deleted."""
     keep = archive_keep(queue, limit).select("id")
-    if limit <= TOP_K_BOUND:
-        keep = F.broadcast(keep)
     return queue.where(F.col("state") == ARCHIVED).join(keep, "id", "left_anti")
 
 
@@ -113,7 +113,10 @@ def sync_outcome(queue: DataFrame, outcomes: DataFrame, directory: str = "attach
 
 
 def queue_upload(files: DataFrame, directory: str = "attachments") -> DataFrame:
-    """New queue rows for saved files ``(id, timestamp, filename, file_extension, media_type, size)``."""
+    """New queue rows for saved files ``(id, timestamp, filename, file_extension, media_type, size)``.
+
+    A ``meta_data`` column of the files is kept.
+    """
     name = attachment_filename(F.col("filename"), F.col("id"), F.col("file_extension"))
     return files.select(
         "id",
@@ -124,6 +127,7 @@ def queue_upload(files: DataFrame, directory: str = "attachments") -> DataFrame:
         "media_type",
         "size",
         F.lit(False).alias("has_synced"),
+        *[c for c in files.columns if c == "meta_data"],
     )
 
 

@@ -39,7 +39,7 @@ def scan_before(
     ``sums`` maps a new column name to a numeric expression whose total over earlier rows is
     wanted (0 when there are none). ``lasts`` maps a new name to an expression whose newest
     non-NULL value over earlier rows is wanted (NULL when there is none). ``order`` is a
-    bigint that is unique within ``by``, and no ``by`` column is NULL.
+    bigint that is unique within ``by``; rows with NULLs in ``by`` belong together like other equals.
     """
     sums, lasts = dict(sums or {}), dict(lasts or {})
     prepared = df.select(
@@ -74,8 +74,9 @@ def _scan(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         *[F.col(n).alias(f"_before_{n}") for n in sums + lasts],
     )
-    # Plain equality on the window's own keys: the join reuses the window's partitioning.
-    match = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    # A NULL key is a key like any other; the range is never NULL.
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in by] + [F.col(level) == F.col(f"_k_{level}")]
+    match = reduce(lambda a, b: a & b, same)
     joined = inner.join(F.broadcast(outer) if few else outer, match, "left")
     merged = {
         **{n: F.col(n) + F.coalesce(F.col(f"_before_{n}"), F.lit(0)) for n in sums},

@@ -9,9 +9,6 @@ from pyspark.sql.window import Window
 from tidelog.functions.scalars import MAX_OP_ID, is_fatal_error
 from tidelog.operators.ordered import scan_before
 
-# A batch below this size is cut with a top-k, whose result one task holds.
-TOP_K_BOUND = 100_000
-
 
 def crud_scan(queue: DataFrame) -> DataFrame:
     """Queue rows ``(id, tx_id, data)`` as typed entries; an unknown op is an error."""
@@ -63,14 +60,9 @@ def crud_transactions(entries: DataFrame) -> DataFrame:
 def take_until_size(transactions: DataFrame, size: int) -> DataFrame:
     """The oldest transactions, while fewer than ``size`` entries were taken before each.
 
-    A transaction has at least one entry, so no more than ``size`` of them can be taken.
+    The running number of entries comes from a ranged scan, whatever ``size`` is.
     """
-    if size <= TOP_K_BOUND:
-        oldest = transactions.orderBy("first_id").limit(size)
-        before = Window.orderBy("first_id").rowsBetween(Window.unboundedPreceding, -1)
-        taken = oldest.withColumn("taken_before", F.coalesce(F.sum("n_entries").over(before), F.lit(0)))
-    else:
-        taken = scan_before(transactions, "first_id", sums={"taken_before": F.col("n_entries")})
+    taken = scan_before(transactions, "first_id", sums={"taken_before": F.col("n_entries")})
     return taken.where(F.col("taken_before") < size)
 
 
@@ -104,19 +96,8 @@ def walk_transaction(entries: DataFrame, start_id: int) -> DataFrame:
 
 def crud_batch(entries: DataFrame, limit: int = 100) -> DataFrame:
     """The first ``limit`` entries with ``has_more``; a batch may split a transaction."""
-    head = entries.orderBy("id").limit(limit + 1)
-    everything = Window.partitionBy()
-    return (
-        head.withColumns(
-            {
-                "_n": F.count(F.lit(1)).over(everything),
-                "_rank": F.row_number().over(Window.orderBy("id")),
-            }
-        )
-        .where(F.col("_rank") <= limit)
-        .withColumn("has_more", F.col("_n") > limit)
-        .drop("_n", "_rank")
-    )
+    seen = entries.select("id").limit(limit + 1).agg(F.count(F.lit(1)).alias("_n")).scalar()
+    return entries.orderBy("id").limit(limit).withColumn("has_more", seen > limit)
 
 
 def complete_upto(entries: DataFrame, last_id: int) -> DataFrame:

@@ -52,14 +52,16 @@ def first_row(rows: DataFrame, order: Sequence[str | Column]):
 
 def unique_names(names: Sequence[str]) -> list[str]:
     """Result names made unique: a repeated ``name`` becomes ``name&JOIN1``, then ``name&JOIN2``."""
-    taken: list[str] = []
+    taken: dict[str, int] = {}  # in order of appearance; the number of repeats seen so far
     for name in names:
-        candidate, n = name, 0
+        candidate, n = name, taken.get(name, 0)
         while candidate in taken:
             n += 1
             candidate = f"{name}&JOIN{n}"
-        taken.append(candidate)
-    return taken
+        if candidate != name:
+            taken[name] = n
+        taken[candidate] = 0
+    return list(taken)
 
 
 def dedupe_join_columns(joined: DataFrame) -> DataFrame:

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from tidelog.session import written
 
-# A lookup side is written out and counted; up to this many rows it is broadcast.
+# A lookup side is written out and measured; up to so many bytes of text, and rows, it is broadcast.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32_000_000
 
 # A key is heavy when it holds more than 1/HEAVY_SHARE of the rows, so that there are
 # fewer than HEAVY_SHARE heavy keys whatever the size of the data. This is the size bound
@@ -41,7 +42,7 @@ def lookup_join(
 ) -> DataFrame:
     """``rows`` joined with ``lookup`` on ``on``, balanced whatever the keys of ``rows``.
 
-    The lookup side is computed once, into a table, and counted. If it is small it is broadcast
+    The lookup side is computed once, into a table, and measured (rows, and bytes as text). If it is small it is broadcast
     and ``rows`` are not shuffled at all. Otherwise rows of a heavy key are dealt out to as many
     slices as there are shuffle partitions and the matching lookup rows are repeated once
     per slice, so that only the few heavy keys are replicated. Rows with a NULL key match nothing
@@ -53,7 +54,9 @@ def lookup_join(
         raise ValueError(f"lookup_join keeps the rows of its left side; {how!r} does not")
     on = list(on)
     lookup = written(lookup, "lookup")
-    if lookup.count() <= BROADCAST_ROWS:
+    size = F.sum(F.length(F.to_json(F.struct(*lookup.columns))))
+    n_rows, n_bytes = lookup.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    if n_rows <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES:
         return rows.join(F.broadcast(lookup), on, how)
     salts = salt_count(rows)
     heavy = heavy_keys((key_sample or rows).select(*on), on).withColumn("_heavy", F.lit(True))

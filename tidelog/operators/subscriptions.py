@@ -16,31 +16,28 @@ from tidelog.operators.skew import lookup_join
 def open_handles(events: DataFrame, clock: str = "seq") -> DataFrame:
     """One row per ``(stream, handle)`` that was subscribed after the stream's last clear.
 
-    ``open`` says whether the handle still counts: its newest subscribe comes after its newest
-    unsubscribe. Repeated unsubscribes of a handle, and those of handles older than the last
-    unsubscribe-all, change nothing. ``clock`` names the column that ``closed_at`` is taken from.
+    ``open`` says whether the handle still counts: no unsubscribe comes after its newest
+    subscribe. The first one closes it; repeated unsubscribes of a handle, and those of handles older
+    than the last unsubscribe-all, change nothing. ``clock`` names the column that ``closed_at`` is taken from.
     """
-    seq, kind = F.col("seq"), F.col("kind")
-    subscribed = F.when(kind == "subscribe", seq)
-    unsubscribed = F.when(kind == "unsubscribe", seq)
-    handles = (
-        events.where(kind.isin("subscribe", "unsubscribe"))
+    kind = F.col("kind")
+    opened = (
+        events.where(kind == "subscribe")
         .groupBy("stream", "handle")
-        .agg(
-            F.max(subscribed).alias("opened"),
-            F.max(unsubscribed).alias("closed"),
-            F.max_by(clock, unsubscribed).alias("closed_at"),
-            F.max_by("ttl", subscribed).alias("ttl"),
-            F.max_by("priority", subscribed).alias("priority"),
-        )
-        .where(F.col("opened").isNotNull())
+        .agg(F.max("seq").alias("opened"), F.max_by("ttl", "seq").alias("ttl"), F.max_by("priority", "seq").alias("priority"))
     )
+    ends = events.where(kind == "unsubscribe").select("stream", "handle", "seq", F.col(clock).alias("_clock"))
+    after = lookup_join(
+        ends, opened.select("stream", "handle", "opened"), ["stream", "handle"], "inner", spread=F.xxhash64("seq"), key_sample=ends
+    ).where(F.col("seq") > F.col("opened"))
+    closed = after.groupBy("stream", "handle").agg(F.min("seq").alias("closed"), F.min_by("_clock", "seq").alias("closed_at"))
+    handles = opened.join(closed, ["stream", "handle"], "left")
     cleared = events.where(kind == "unsubscribe_all").groupBy("stream").agg(F.max("seq").alias("cleared"))
     none = F.lit(-1).cast("bigint")
     return (
         lookup_join(handles, cleared, ["stream"], "left", spread=F.xxhash64("handle"), key_sample=events)
         .where(F.col("opened") > F.coalesce("cleared", none))
-        .withColumn("open", F.col("opened") > F.coalesce("closed", none))
+        .withColumn("open", F.col("closed").isNull())
         .drop("cleared")
     )
 
@@ -96,25 +93,18 @@ def request_items(subscriptions: DataFrame) -> DataFrame:
 
 
 def subscription_request(
-    subscriptions: DataFrame, client: str, include_defaults: bool = True, per_document: int = 10_000
+    subscriptions: DataFrame, client: str, include_defaults: bool = True
 ) -> DataFrame:
-    """The request document of each client.
+    """The one request document of each client: its different subscriptions, ordered by their text.
 
-    A client with more than ``per_document`` subscriptions gets several documents, its
-    subscriptions being dealt out by hash, so that no document grows without bound.
+    The protocol sends a client's subscriptions as a whole, so a document is as large as they are.
     """
-    counts = subscriptions.groupBy(client).agg(F.ceil(F.count(F.lit(1)) / per_document).alias("_parts"))
-    dealt = lookup_join(request_items(subscriptions), counts, [client], "inner", spread=F.xxhash64("item"))
     body = F.concat(
         F.lit(f'{{"include_defaults":{str(include_defaults).lower()},"subscriptions":['),
         F.concat_ws(",", F.array_sort(F.collect_set("item"))),
         F.lit("]}"),
     )
-    return (
-        dealt.withColumn("part", F.pmod(F.xxhash64("item"), F.col("_parts")))
-        .groupBy(client, "part")
-        .agg(body.alias("request"))
-    )
+    return request_items(subscriptions).groupBy(client).agg(body.alias("request"))
 
 
 def stream_status(statuses: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -146,11 +146,13 @@ def first_sync_time(fx: Fixtures):
 
 
 SUBSCRIPTIONS = """
- handles AS (SELECT stream, handle, max(seq) FILTER (kind = 'subscribe') AS opened, max(seq) FILTER (kind = 'unsubscribe') AS closed,
-   arg_max(ttl, seq) FILTER (kind = 'subscribe') AS ttl, arg_max(priority, seq) FILTER (kind = 'subscribe') AS priority
-   FROM {fx_subscription_events} WHERE kind <> 'unsubscribe_all' GROUP BY ALL),
+ begun AS (SELECT stream, handle, max(seq) AS opened, arg_max(ttl, seq) AS ttl, arg_max(priority, seq) AS priority
+   FROM {fx_subscription_events} WHERE kind = 'subscribe' GROUP BY ALL),
+ handles AS (SELECT b.stream, b.handle, b.opened, b.ttl, b.priority, min(e.seq) AS closed
+   FROM begun b LEFT JOIN {fx_subscription_events} e ON e.stream = b.stream AND e.handle = b.handle AND e.kind = 'unsubscribe' AND e.seq > b.opened
+   GROUP BY ALL),
  cleared AS (SELECT stream, max(seq) AS cleared FROM {fx_subscription_events} WHERE kind = 'unsubscribe_all' GROUP BY stream),
- alive AS (SELECT h.*, opened > coalesce(closed, -1) AS open FROM handles h LEFT JOIN cleared c ON c.stream = h.stream
+ alive AS (SELECT h.*, closed IS NULL AS open FROM handles h LEFT JOIN cleared c ON c.stream = h.stream
    WHERE opened > coalesce(cleared, -1)),
  subs AS (SELECT stream, CAST(count(*) FILTER (open) AS BIGINT) AS ref_count, arg_max(ttl, opened) AS ttl, arg_max(priority, opened) AS priority,
    max(closed) FILTER (NOT open) AS last_closed FROM alive GROUP BY stream)
@@ -185,14 +187,17 @@ def subscription_expiry(fx: Fixtures):
 
 @query(
     "subscription_request",
-    f"""WITH {SUBSCRIPTIONS} SELECT stream, concat('{{"stream":"', stream, '","parameters":{{"refs":', ref_count, '}},"override_priority":', priority, '}}') AS item
-        FROM subs WHERE ref_count > 0""",
+    f"""WITH {SUBSCRIPTIONS}, items AS (SELECT CAST(priority % 2 AS INTEGER) AS client,
+          concat('{{"stream":"', stream, '","parameters":{{"refs":', ref_count, '}},"override_priority":', priority, '}}') AS item FROM subs WHERE ref_count > 0)
+        SELECT client, concat('{{"include_defaults":true,"subscriptions":[', array_to_string(list_sort(list(DISTINCT item)), ','), ']}}') AS request
+        FROM items GROUP BY client""",
 )
 def subscription_request(fx: Fixtures):
     active = subscriptions.subscription_fold(fx.fx_subscription_events)
-    return subscriptions.request_items(
-        active.withColumn("parameters", F.struct(F.col("ref_count").alias("refs")))
-    ).select("stream", "item")
+    asked = active.withColumns(
+        {"parameters": F.struct(F.col("ref_count").alias("refs")), "client": (F.col("priority") % 2).cast("int")}
+    )
+    return subscriptions.subscription_request(asked, "client")
 
 
 @query(

@@ -31,13 +31,12 @@ from tidelog.sources.state import (
 )
 
 STREAM_LINE = "value STRING"
-# Lines of a micro-batch are numbered below this bound; the batch number is above it.
-BATCH_SHIFT = 48
 
 
 def visible_bounds(targets: DataFrame, completions: DataFrame) -> DataFrame:
     """``(bucket, priority, last_op_id)``: up to which op each bucket is visible.
 
+    ``seq`` is anything with an order, such as a struct of micro-batch and line number.
     ``targets`` has a row per bucket that a checkpoint line sets or a diff removes, with
     ``full`` marking full checkpoints (also by a row without a bucket); ``completions`` has ``(seq, priority, last_op_id)``
     with a NULL priority for full ones. A full completion makes the whole bucket list visible;
@@ -46,8 +45,7 @@ def visible_bounds(targets: DataFrame, completions: DataFrame) -> DataFrame:
     full = completions.where(F.col("priority").isNull())
     full_seq = full.agg(F.max("seq").alias("s")).scalar()
     full_op = full.agg(F.max("last_op_id").alias("o")).scalar()
-    none = F.lit(-1).cast("bigint")
-    partial = completions.where(F.col("priority").isNotNull() & (F.col("seq") > F.coalesce(full_seq, none)))
+    partial = completions.where(F.col("priority").isNotNull() & F.coalesce(F.col("seq") > full_seq, F.lit(True)))
     partial_seq = partial.agg(F.max("seq").alias("s")).scalar()
     complete = _bucket_list(targets, full_seq).withColumn("last_op_id", full_op)
     ahead = _bucket_list(targets, partial_seq)
@@ -70,7 +68,7 @@ def _bucket_list(targets: DataFrame, upto) -> DataFrame:
     seen = targets.where(F.col("seq") <= upto)
     start = seen.where("full").agg(F.max("seq").alias("s")).scalar()
     return (
-        seen.where(F.col("bucket").isNotNull() & (F.col("seq") >= F.coalesce(start, F.lit(-1).cast("bigint"))))
+        seen.where(F.col("bucket").isNotNull() & F.coalesce(F.col("seq") >= start, F.lit(True)))
         .groupBy("bucket")
         .agg(F.max_by("removed", "seq").alias("removed"), F.max_by("priority", "seq").alias("priority"))
         .where(~F.col("removed"))
@@ -104,7 +102,9 @@ class FeedApplier:
         return f"{self.root}/{table}/batch={batch_id}"
 
     def _all(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{table}").drop("batch")
+        """All rows of a table, their ``seq`` ordered by micro-batch and then by line."""
+        rows = self.spark.read.parquet(f"{self.root}/{table}")
+        return rows.withColumn("seq", F.struct(F.col("batch").cast("bigint").alias("batch"), F.col("seq").alias("line"))).drop("batch")
 
     def oplog(self, upto_batch: int | None = None) -> DataFrame:
         """All ops that still matter: the compacted log, and the batches staged after it."""
@@ -142,8 +142,7 @@ class FeedApplier:
     def apply_batch(self, lines: DataFrame, batch_id: int) -> None:
         """Stages one micro-batch of ``(value, file, block)`` lines; publishes if it completes a checkpoint."""
         lines = lines.withColumn("position", F.monotonically_increasing_id())
-        base = F.shiftleft(F.lit(batch_id).cast("bigint"), BATCH_SHIFT)
-        classified = classify_lines(number_lines(lines).withColumn("seq", F.col("seq") + base))
+        classified = classify_lines(number_lines(lines))
         stage = self._path("lines", batch_id)
         # Written once: the ops, targets and completions below are read from this table.
         classified.select("seq", "kind", "content").write.mode("overwrite").parquet(stage)
