@@ -247,14 +247,35 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate(([True], values[1:] != values[:-1]))] if len(values) else values
 
 
-def _odds(bucket: np.ndarray, text: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """Smoothed log-odds of each bucket by the number of texts of each class that hold it."""
-    seen = _distinct(bucket * np.int64(len(label)) + text)
-    b, t = seen // len(label), seen % len(label)
-    ones = np.bincount(b, label[t], BUCKETS)
-    all_ = np.bincount(b, minlength=BUCKETS)
-    odds = np.log((ones + 0.5) / (label.sum() + 1)) - np.log((all_ - ones + 0.5) / (len(label) - label.sum() + 1))
-    return (odds * all_ / (all_ + 4) / 2).astype(np.float32)
+def _ranges(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers begin, begin + 1, ... of each pair, ``count`` of them, one after the other."""
+    return np.repeat(begin - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def _grams_of(words: Words, used: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram buckets of the different words ``used``, and how many each has."""
+    order = np.argsort(words.owner, kind="stable")
+    count = np.bincount(words.owner, minlength=len(words.word))
+    return words.gram[order][_ranges((np.cumsum(count) - count)[used], count[used])], count[used]
+
+
+def _odds(texts: list[str], label: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed log-odds of each word and n-gram bucket by the number of texts of each class that hold it."""
+    seen = np.zeros((2, 2, BUCKETS))  # words or n-grams, class
+    for low in range(0, len(texts), 50):
+        part = label[low : low + 50].astype(int)
+        words = read_words(*column_bytes(pa.array(texts[low : low + 50], pa.large_string())))
+        pairs = _distinct(words.rows * np.int64(max(1, len(words.word))) + words.which)
+        row, word = np.divmod(pairs, max(1, len(words.word)))
+        grams, count = _grams_of(words, word)
+        for kind, bucket, text in ((0, words.word[word], row), (1, grams, np.repeat(row, count))):
+            once = _distinct(bucket * np.int64(50) + text)
+            for c in (0, 1):
+                seen[kind, c] += np.bincount(once[part[once % 50] == c] // 50, minlength=BUCKETS)
+    ones, total = label.sum(), len(label)
+    odds = np.log((seen[:, 1] + 0.5) / (ones + 1)) - np.log((seen[:, 0] + 0.5) / (total - ones + 1))
+    both = seen.sum(1)
+    return tuple((odds * both / (both + 4) / 2).astype(np.float32))
 
 
 def fit(texts: list[str], labels: list[int], steps: int = STEPS, seed: int = 5) -> Network:
@@ -270,29 +291,21 @@ def fit(texts: list[str], labels: list[int], steps: int = STEPS, seed: int = 5)
         net.p["out_bias"][0] = 4.0 if labels and labels[0] else -4.0
         return net
     draw = np.random.Generator(np.random.PCG64(seed))
-    data, offsets = column_bytes(pa.array(texts, pa.large_string()))
-    words = read_words(data, offsets)
-    net.word_odds = _odds(words.word[words.which], words.rows, label)
-    order = np.argsort(words.owner, kind="stable")
-    gram, per_word = words.gram[order], np.bincount(words.owner, minlength=len(words.word))
-    begin = np.cumsum(per_word) - per_word
-    pairs = _distinct(words.rows * np.int64(len(words.word)) + words.which)
-    row, word = pairs // len(words.word), pairs % len(words.word)
-    reach = np.repeat(begin[word], per_word[word]) + np.arange(per_word[word].sum()) - np.repeat(np.cumsum(per_word[word]) - per_word[word], per_word[word])
-    net.gram_odds = _odds(gram[reach], np.repeat(row, per_word[word]), label)
-
-    places, rows = windows(words, len(texts))
-    first = np.searchsorted(rows, np.arange(len(texts) + 1))
+    net.word_odds, net.gram_odds = _odds(texts, label)
     classes = [np.flatnonzero(label == c) for c in (0, 1)]
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     for step in range(1, steps + 1):
         chosen = np.concatenate([draw.choice(c, BATCH // 2) for c in classes])
-        spots = [first[i] + draw.permutation(first[i + 1] - first[i])[:CHOICES] for i in chosen]
+        words = read_words(*column_bytes(pa.array([texts[i] for i in chosen], pa.large_string())))
+        places, rows = windows(words, len(chosen))
+        first = np.searchsorted(rows, np.arange(len(chosen) + 1))
+        spots = [a + draw.permutation(b - a)[:CHOICES] for a, b in zip(first, first[1:])]
         spot, of = np.concatenate(spots), np.repeat(np.arange(len(chosen)), [len(s) for s in spots])
         used, local = np.unique(places[spot], return_inverse=True)
         local = local.reshape(len(spot), -1) - (1 if used[0] < 0 else 0)
         used = used[used >= 0]
-        part = _part(words, used, order, begin, per_word)
+        grams, count = _grams_of(words, used)
+        part = Words(used, used, words.word[used], grams, np.repeat(np.arange(len(used)), count))
         x = net.inputs(part)
         logit = net.logits(x, local)
         ranked = np.lexsort((-logit, of))
@@ -310,18 +323,11 @@ def fit(texts: list[str], labels: list[int], steps: int = STEPS, seed: int = 5)
             m += 0.1 * (g[k] - m)
             s += 0.01 * (g[k] ** 2 - s)
             v -= rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-8)
-    logit = np.concatenate([net.row_logits(*column_bytes(pa.array(texts[i : i + 200], pa.large_string()))) for i in range(0, len(texts), 200)])
+    logit = np.concatenate([net.row_logits(*column_bytes(pa.array(texts[i : i + 50], pa.large_string()))) for i in range(0, len(texts), 50)])
     net.shift = _parting(logit, label)
     return net
 
 
-def _part(words: Words, used: np.ndarray, order: np.ndarray, begin: np.ndarray, per_word: np.ndarray) -> Words:
-    """The words ``used`` with their n-grams, numbered anew."""
-    n = per_word[used]
-    reach = np.repeat(begin[used], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    return Words(used, used, words.word[used], words.gram[order][reach], np.repeat(np.arange(len(used)), n))
-
-
 def _parting(logit: np.ndarray, label: np.ndarray) -> float:
     """The logit with the fewest errors; an error on class 0 weighs three times as much. Ties: the middle."""
     order = np.argsort(logit)
