@@ -253,7 +253,9 @@ def write_blocks(encoded: DataFrame, path: str, by_rank: np.ndarray, dtype: str)
 
     id_type = encoded.schema["doc_id"].dataType.simpleString()
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = encoded.repartitionByRange(width, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    # The hash stands for the ids, of which a sample would go to the driver.
+    ordered = encoded.withColumn("tie", F.xxhash64("ids"))
+    ordered = ordered.repartitionByRange(width, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").drop("tie")
     schema = f"shard int, block int, start long, n_ids long, doc_ids array<{id_type}>, payload binary"
     ordered.mapInArrow(blocks, schema).write.parquet(f"{path}/blocks")
     listed = list(enumerate(by_rank.tolist()))
@@ -305,8 +307,8 @@ def read_blocks(spark: SparkSession, path: str, with_ids: bool = True) -> DataFr
 def token_files(docs: DataFrame, tokenizer_path: str, end_id: int, path: str | None = None) -> str:
     """Encodes ``docs`` (``doc_id``, ``text``), writes the block files and returns their folder.
 
-    Null texts are empty and hold ``end_id`` only. Rows with the same id are ordered by their ids'
-    bytes; null ids come first. Texts are encoded whole; a block holds at least one document. An empty table
+    Null texts are empty and hold ``end_id`` only. Rows with the same id are ordered by a hash of
+    their ids; null ids come first. Texts are encoded whole; a block holds at least one document. An empty table
     gives a folder without blocks. Other columns are not read.
     """
     spark = docs.sparkSession
