@@ -108,6 +108,8 @@ def test_compacted_log_folds_to_the_same_rows(spark):
     compacted = feed.compact_oplog(log)
     assert compacted.count() < log.count()
     assert state(feed.apply_oplog(compacted)) == state(feed.apply_oplog(log))
+    sums = lambda df: {tuple(r) for r in df.select("bucket", "actual", "op_count").collect()}
+    assert sums(feed.add_sums(feed.op_sums(compacted), feed.dropped_sums(log, compacted))) == sums(feed.op_sums(log))
 
 
 def test_local_gate_holds_while_writes_wait(spark):

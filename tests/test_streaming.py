@@ -27,7 +27,7 @@ def put(bucket, op_id, row_id, name, op="PUT", row_type="users"):
 
 
 def bucket(name, priority=3, count=1):
-    return {"bucket": name, "priority": priority, "checksum": 0, "count": count}
+    return {"bucket": name, "priority": priority, "checksum": count, "count": count}
 
 
 def checkpoint(last, *buckets):
@@ -82,7 +82,7 @@ def test_redelivery_diffs_and_compaction(spark, tmp_path):
     feed.push(put("a", 1, "1", "one"), complete(2))
     assert feed.names() == ["one", "two"]
     feed.applier.compact()
-    diff = {"checkpoint_diff": {"last_op_id": "4", "updated_buckets": [bucket("a", count=2)], "removed_buckets": ["b"]}}
+    diff = {"checkpoint_diff": {"last_op_id": "4", "updated_buckets": [bucket("a", count=3)], "removed_buckets": ["b"]}}
     feed.push(diff, put("a", 3, "1", None, op="REMOVE"), put("a", 4, "3", "three"))
     assert feed.names() == ["one", "two"]
     feed.push(complete(4))
@@ -102,15 +102,36 @@ def test_later_batches_go_on_whatever_their_number(spark, tmp_path, batch_id):
     assert [json.loads(r["data"])["name"] for r in applier.rows().collect()] == ["two"]
 
 
+def test_a_bucket_with_a_wrong_checksum_is_held_back(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    feed.push(checkpoint(2, bucket("a"), bucket("b", count=12345)), put("a", 1, "1", "one"), put("b", 2, "2", "two"), complete(2))
+    assert feed.names() == ["one"]
+    assert [tuple(r) for r in feed.applier.failed().collect()] == [("b", 12345, 1)]
+    feed.push(checkpoint(3, bucket("a", count=7), bucket("b")), put("a", 3, "3", "three"), complete(3))
+    assert feed.names() == ["one", "two"]
+    feed.push(checkpoint(3, bucket("a", count=2), bucket("b")), complete(3))
+    assert feed.names() == ["one", "three", "two"] and feed.applier.failed().isEmpty()
+
+
+def test_checksums_outlive_compaction_and_redelivery(spark, tmp_path):
+    feed = Feed(spark, tmp_path)
+    old = [put("a", i, "1", f"v{i}") for i in range(1, 5)]
+    feed.push(checkpoint(4, bucket("a", count=4)), *old, complete(4))
+    for last in (5, 6):
+        feed.applier.compact()
+        feed.push(checkpoint(last, bucket("a", count=last)), *old, put("a", last, "1", f"v{last}"), complete(last))
+        assert feed.names() == [f"v{last}"] and feed.applier.failed().isEmpty()
+
+
 def test_untyped_rows_are_kept_apart(spark, tmp_path):
     feed = Feed(spark, tmp_path)
-    feed.push(checkpoint(2, bucket("a")), put("a", 1, "1", "one"), put("a", 2, "9", "x", row_type="later"), complete(2))
+    feed.push(checkpoint(2, bucket("a", count=2)), put("a", 1, "1", "one"), put("a", 2, "9", "x", row_type="later"), complete(2))
     assert feed.names() == ["one"]
     assert feed.applier.untyped().select("row_type", "row_id").collect() == [("later", "9")]
 
 
 def test_one_batch_equals_many(spark, tmp_path):
-    lines = [checkpoint(6, bucket("a"), bucket("b", 1))]
+    lines = [checkpoint(6, bucket("a", count=3), bucket("b", 1, count=3))]
     lines += [put("ab"[i % 2], i + 1, str(i % 3), f"n{i}") for i in range(6)] + [complete(6)]
     (tmp_path / "x").mkdir()
     (tmp_path / "y").mkdir()

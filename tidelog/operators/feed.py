@@ -152,13 +152,28 @@ def anti_removed(state: DataFrame, removed: DataFrame) -> DataFrame:
     return state.join(removed.select("bucket"), "bucket", "left_anti")
 
 
-def bucket_checksums(oplog: DataFrame, checkpoint: DataFrame) -> DataFrame:
-    """Per checkpoint bucket the checksum and count of its ops, and whether they match."""
-    sums = (
-        oplog.where(F.col("op_id") <= last_op(checkpoint))
-        .groupBy("bucket")
-        .agg(sum_modulo_32_bits(F.col("checksum")).alias("actual"), F.count(F.lit(1)).alias("op_count"))
+def op_sums(oplog: DataFrame) -> DataFrame:
+    """``(bucket, actual, op_count)``: checksum and number of a bucket's ops."""
+    return oplog.groupBy("bucket").agg(
+        sum_modulo_32_bits(F.col("checksum")).alias("actual"), F.count(F.lit(1)).alias("op_count")
     )
+
+
+def add_sums(sums: DataFrame, others: DataFrame, sign: int = 1) -> DataFrame:
+    """Sums of two parts of a log together, or with ``sign`` -1 the sums of ``sums`` without ``others``."""
+    both = sums.unionByName(others.select("bucket", (F.col("actual") * sign).alias("actual"), (F.col("op_count") * sign).alias("op_count")))
+    total = F.pmod(F.sum("actual"), F.lit(4294967296)).alias("actual")
+    return both.groupBy("bucket").agg(total, F.sum("op_count").alias("op_count"))
+
+
+def bucket_checksums(oplog: DataFrame, checkpoint: DataFrame, dropped: DataFrame | None = None) -> DataFrame:
+    """Per checkpoint bucket the checksum and count of its ops, and whether they match.
+
+    For a compacted log ``dropped`` has the sums of what compaction dropped (``dropped_sums``).
+    """
+    sums = op_sums(oplog.where(F.col("op_id") <= last_op(checkpoint)))
+    if dropped is not None:
+        sums = add_sums(sums, dropped)
     zero = F.lit(0).cast("bigint")
     actual = F.coalesce("actual", zero)
     expected = F.pmod(F.col("checksum"), F.lit(4294967296))
@@ -177,12 +192,20 @@ def visible_ops(oplog: DataFrame) -> DataFrame:
 
 
 def compact_oplog(oplog: DataFrame) -> DataFrame:
-    """A smaller log with the same fold: the newest op per key, and the newest CLEAR per bucket."""
+    """A smaller log with the same fold: the newest op per key, and the newest CLEAR per bucket.
+
+    The checksums of a bucket need what is dropped as well: keep ``dropped_sums`` with the log.
+    """
     newest = drop_cleared(newest_per_key(oplog).select("bucket", F.col("newest").alias("op_id")), oplog, "op_id")
     keep = newest.select("op_id").unionByName(newest_clear(oplog).select(F.col("cleared").alias("op_id")))
     return oplog.join(keep, "op_id", "left_semi")
 
 
+def dropped_sums(oplog: DataFrame, kept: DataFrame) -> DataFrame:
+    """``(bucket, actual, op_count)`` of the ops of ``oplog`` that are not in ``kept``, a part of it."""
+    return add_sums(op_sums(oplog), op_sums(kept), -1)
+
+
 def gate_checkpoints(attempts: DataFrame) -> DataFrame:
     """Per attempt whether a complete checkpoint may be published over local writes.
 

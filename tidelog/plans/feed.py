@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.json import json_columns, json_extract_cast
 from tidelog.operators import feed, history, tables, timeline
+from tidelog.operators.skew import lookup_join
 from tidelog.plans.fixtures import Fixtures
 from tidelog.plans.registry import query
 from tidelog.schema import ID, REST, Column, RawSchema, RawTable, Schema, Table, from_column
@@ -303,13 +304,18 @@ def op_clear_move(fx: Fixtures):
        newest AS (SELECT bucket, max(op_id) AS op_id FROM {fx_oplog} WHERE op IN ('PUT', 'REMOVE')
                   GROUP BY bucket, row_type, row_id, subkey),
        keep AS (SELECT op_id FROM newest n LEFT JOIN clears c ON n.bucket = c.bucket WHERE cleared IS NULL OR op_id > cleared
-                UNION ALL SELECT cleared FROM clears)
-       SELECT op_id, bucket, op, row_type, row_id, subkey, data, checksum FROM {fx_oplog} WHERE op_id IN (SELECT op_id FROM keep)""",
+                UNION ALL SELECT cleared FROM clears),
+       dropped AS (SELECT bucket, CAST(sum(checksum) % 4294967296 AS BIGINT) AS dropped_sum, CAST(count(*) AS BIGINT) AS dropped_count
+                FROM {fx_oplog} WHERE op_id NOT IN (SELECT op_id FROM keep) GROUP BY bucket)
+       SELECT op_id, o.bucket, op, row_type, row_id, subkey, data, checksum, coalesce(dropped_sum, 0) AS dropped_sum, coalesce(dropped_count, 0) AS dropped_count
+       FROM {fx_oplog} o LEFT JOIN dropped d ON d.bucket = o.bucket WHERE op_id IN (SELECT op_id FROM keep)""",
 )
 def compact_oplog(fx: Fixtures):
-    return feed.compact_oplog(fx.fx_oplog).select(
-        "op_id", "bucket", "op", "row_type", "row_id", "subkey", "data", "checksum"
+    kept = feed.compact_oplog(fx.fx_oplog).select("op_id", "bucket", "op", "row_type", "row_id", "subkey", "data", "checksum")
+    dropped = feed.dropped_sums(fx.fx_oplog, kept).select(
+        "bucket", F.col("actual").alias("dropped_sum"), F.col("op_count").alias("dropped_count")
     )
+    return lookup_join(kept, dropped, ["bucket"], "left", spread=F.xxhash64("op_id"))
 
 
 @query(

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
-from tidelog.operators.feed import compact_oplog, live_puts, newest_put
+from tidelog.operators.feed import add_sums, compact_oplog, live_puts, newest_put, op_sums
 from tidelog.operators.skew import lookup_join
 from tidelog.schema import Schema
+from tidelog.session import written
 from tidelog.sources.lines import (
     classify_lines,
     explode_checkpoints,
@@ -34,7 +35,7 @@ STREAM_LINE = "value STRING"
 
 
 def visible_bounds(targets: DataFrame, completions: DataFrame) -> DataFrame:
-    """``(bucket, priority, last_op_id)``: up to which op each bucket is visible.
+    """``(bucket, priority, checksum, last_op_id)``: up to which op each bucket is to be visible.
 
     ``seq`` is anything with an order, such as a struct of micro-batch and line number.
     ``targets`` has a row per bucket that a checkpoint line sets or a diff removes, with
@@ -59,8 +60,9 @@ def visible_bounds(targets: DataFrame, completions: DataFrame) -> DataFrame:
         .select(F.col("priority").alias("code"), F.max("_reached").over(onward).alias("last_op_id"))
         .where(F.col("last_op_id").isNotNull())
     )
-    moved = ahead.join(reach, F.col("priority") == F.col("code")).select("bucket", "priority", "last_op_id")
-    return complete.join(moved, "bucket", "left_anti").select("bucket", "priority", "last_op_id").unionByName(moved)
+    columns = ("bucket", "priority", "checksum", "last_op_id")
+    moved = ahead.join(reach, F.col("priority") == F.col("code")).select(*columns)
+    return complete.join(moved, "bucket", "left_anti").select(*columns).unionByName(moved)
 
 
 def _bucket_list(targets: DataFrame, upto) -> DataFrame:
@@ -70,7 +72,7 @@ def _bucket_list(targets: DataFrame, upto) -> DataFrame:
     return (
         seen.where(F.col("bucket").isNotNull() & F.coalesce(F.col("seq") >= start, F.lit(True)))
         .groupBy("bucket")
-        .agg(F.max_by("removed", "seq").alias("removed"), F.max_by("priority", "seq").alias("priority"))
+        .agg(*[F.max_by(c, "seq").alias(c) for c in ("removed", "priority", "checksum")])
         .where(~F.col("removed"))
         .drop("removed")
     )
@@ -135,9 +137,62 @@ class FeedApplier:
         bounds = self.store.read("bounds", paths).select("bucket", "last_op_id")
         bounded = lookup_join(self.oplog(version), bounds, ["bucket"], "left", spread=F.xxhash64("op_id"))
         settled = F.coalesce(F.col("op_id") <= F.col("last_op_id"), F.lit(False))
-        kept = compact_oplog(bounded.where(settled).drop("last_op_id"))
+        kept = written(compact_oplog(bounded.where(settled).drop("last_op_id")).dropDuplicates(["bucket", "op_id"]), "feed-kept")
         pending = bounded.where(~settled).drop("last_op_id")
-        self.store.publish(version, {"compacted": kept.unionByName(pending)})
+        # A bucket's checksum covers all its ops: what the log loses is kept as a sum per bucket.
+        sums = add_sums(self._sums(version, bounds), op_sums(kept), -1)
+        dropped = bounds.join(sums, "bucket", "left").select(
+            "bucket", *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("actual", "op_count")], F.col("last_op_id").alias("upto")
+        )
+        self.store.publish(version, {"compacted": kept.unionByName(pending), "dropped": dropped})
+
+    def _sums(self, upto_batch: int, bounds: DataFrame) -> DataFrame:
+        """``(bucket, actual, op_count)`` of all ops ever received up to the bounds, each counted once.
+
+        A bucket's ops up to the last compaction are the ones it kept and the sum of the ones it dropped;
+        when such an op is delivered again it is among them already.
+        """
+        staged = self.spark.read.parquet(f"{self.root}/oplog").where(F.col("batch") <= upto_batch)
+        columns = ("bucket", "op_id", "checksum")
+        _, paths = self.store.current()
+        limits = bounds.select("bucket", "last_op_id")
+        dropped = None
+        if "dropped" in paths:
+            dropped = self.store.read("dropped", paths)
+            limits = limits.join(dropped.select("bucket", "upto"), "bucket", "left")
+            ops = self.store.read("compacted", paths).select(*columns, F.lit(False).alias("later"))
+            later = staged.where(F.col("batch") > self._compacted_upto(paths))
+            ops = ops.unionByName(later.select(*columns, F.lit(True).alias("later")))
+        else:
+            limits = limits.withColumn("upto", F.lit(None).cast("bigint"))
+            ops = staged.select(*columns, F.lit(True).alias("later"))
+        bounded = lookup_join(ops, limits, ["bucket"], "inner", spread=F.xxhash64("op_id"))
+        known = F.col("later") & F.coalesce(F.col("op_id") <= F.col("upto"), F.lit(False))
+        counted = bounded.where((F.col("op_id") <= F.col("last_op_id")) & ~known).dropDuplicates(["bucket", "op_id"])
+        sums = op_sums(counted)
+        if dropped is None:
+            return sums
+        return add_sums(sums, dropped.join(limits.select("bucket"), "bucket", "left_semi").select("bucket", "actual", "op_count"))
+
+    def _verified(self, batch_id: int, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The bounds to publish, and the buckets whose ops do not have the stated checksum.
+
+        Such a bucket stays at what was published before; without any it is not visible.
+        """
+        modulus = F.lit(4294967296)
+        sums = self._sums(batch_id, wanted).select("bucket", "actual")
+        checked = wanted.join(sums, "bucket", "left").select(
+            "bucket", "priority", "last_op_id", F.pmod("checksum", modulus).alias("expected"), F.coalesce("actual", F.lit(0).cast("bigint")).alias("actual")
+        )
+        checked = written(checked, "feed-checked")
+        right = F.coalesce(F.col("expected") == F.col("actual"), F.lit(True))
+        failed = checked.where(~right).select("bucket", "expected", "actual")
+        bounds = checked.where(right).select("bucket", "priority", "last_op_id")
+        _, paths = self.store.current()
+        if "bounds" in paths:
+            before = self.store.read("bounds", paths).select("bucket", "priority", "last_op_id")
+            bounds = bounds.unionByName(before.join(failed.select("bucket"), "bucket", "left_semi"))
+        return bounds, failed
 
     def apply_batch(self, lines: DataFrame, batch_id: int) -> None:
         """Stages one micro-batch of ``(value, file, block)`` lines; publishes if it completes a checkpoint."""
@@ -148,7 +203,7 @@ class FeedApplier:
         classified.select("seq", "kind", "content").write.mode("overwrite").parquet(stage)
         staged = self.spark.read.parquet(stage)
         explode_ops(staged, keep=("seq",)).drop("seq").write.mode("overwrite").parquet(self._path("oplog", batch_id))
-        fields = ["seq", "bucket", "priority", "removed", "full"]
+        fields = ["seq", "bucket", "priority", "checksum", "removed", "full"]
         targets = explode_checkpoints(staged, keep=("seq",)).withColumns(
             {"removed": F.lit(False), "full": F.lit(True)}
         )
@@ -168,10 +223,12 @@ class FeedApplier:
         completions.write.mode("overwrite").parquet(self._path("completions", batch_id))
         if self.spark.read.parquet(self._path("completions", batch_id)).isEmpty():
             return
+        wanted = written(visible_bounds(self._all("targets"), self._all("completions")), "feed-wanted")
+        bounds, failed = self._verified(batch_id, wanted)
         bounds_path = self._path("bounds", batch_id)
-        visible_bounds(self._all("targets"), self._all("completions")).write.mode("overwrite").parquet(bounds_path)
+        bounds.write.mode("overwrite").parquet(bounds_path)
         bounds = self.spark.read.parquet(bounds_path)
-        publish_rows(self.store, batch_id, bounded_rows(self.oplog(), bounds), bounds=bounds)
+        publish_rows(self.store, batch_id, bounded_rows(self.oplog(), bounds), bounds=bounds, failed=failed)
         if batch_id - self._compacted_upto(self.store.current()[1]) >= self.compact_after:
             self.compact()
 
@@ -179,6 +236,10 @@ class FeedApplier:
         """The published rows of declared types, or None before the first completion."""
         return None if self.store.current()[0] < 0 else declared_table_rows(self.store, self.schema)
 
+    def failed(self) -> DataFrame | None:
+        """Buckets held back at the last completion: ``(bucket, expected, actual)`` checksums."""
+        return None if self.store.current()[0] < 0 else self.store.read("failed")
+
     def untyped(self) -> DataFrame:
         return undeclared_table_rows(self.store, self.schema)
 
