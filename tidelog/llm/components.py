@@ -23,19 +23,23 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether each larger node has one link, and no smaller node is the larger one of another link."""
+    n, larger = edges.agg(F.count(F.lit(1)), F.count_distinct("a")).first()
+    return n == larger and edges.select(F.col("b").alias("a")).join(edges.select("a"), "a", "left_semi").isEmpty()
+
+
 def connected(links: DataFrame) -> DataFrame:
     """``node, label`` for every node of ``links`` (``a``, ``b``): label is the smallest node of its component.
 
-    Large-star and small-star steps are repeated until the links no longer change; every
-    step is a grouping with partial results and a join, and is written to the shared folder.
+    Large-star and small-star steps are repeated until every node but the smallest of each component has
+    one link, to that one. Each step is a grouping with partial results and a join, and is written to the
+    shared folder.
     """
-    edges, seen = links.select("a", "b").where("a <> b").distinct(), None
-    while True:
+    pairs = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = written(pairs.distinct(), "component-links")
+    while not _stars_only(edges):
         edges = written(_star(_star(edges, True), False), "component-links")
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == seen:
-            break
-        seen = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).union(
         edges.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )

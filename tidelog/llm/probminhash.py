@@ -178,11 +178,13 @@ def _cell_links(cell: pa.Table, threshold: float) -> pa.RecordBatch | None:
             continue
         own = slice(start[r], start[r + 1])
         mark[ids[own]] = True
-        for o in others.tolist():
-            its = slice(start[o], start[o + 1])
-            common = np.count_nonzero(mark[ids[its]])
-            value = common / (size[r] + size[o] - common)
+        low, high = int(others[0]), int(others[-1]) + 1
+        common = np.add.reduceat(mark[ids[start[low] : start[high]]], start[low:high] - start[low], dtype=np.int64)[others - low]
+        values = common / (size[r] + size[others] - common)
+        unsure = weighted[others] | weighted[r]
+        for o, value in zip(others[unsure | (values >= threshold)].tolist(), values[unsure | (values >= threshold)].tolist()):
             if weighted[r] or weighted[o]:
+                its = slice(start[o], start[o + 1])
                 both, at = np.unique(np.concatenate((ids[own], ids[its])), return_inverse=True)
                 x, y = np.zeros(len(both)), np.zeros(len(both))
                 x[at[: size[r]]], y[at[size[r] :]] = counts[own], counts[its]
@@ -221,7 +223,7 @@ def _between(rest: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: flo
     A group is cut into blocks of about ``BLOCK`` nodes and each pair of blocks is a cell of its own, so no
     task holds a group, and only links leave a cell.
     """
-    one = texts.join(rest.select("node"), "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
+    one = _texts_of(rest.select("node"), texts)
     sizes = rest.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     placed = rest.join(sizes, "first").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     full = placed.join(nodes.select("node", "sig"), "node").join(one, "node")
@@ -233,6 +235,12 @@ def _between(rest: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: flo
     return written(links, "near-links")
 
 
+def _texts_of(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """One text of each wanted node, by the same shuffle of the texts at every size of ``wanted``."""
+    found = texts.join(wanted.hint("merge"), "node", "left_semi")
+    return found.groupBy("node").agg(F.first("text").alias("text"))
+
+
 def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs at or above the threshold: first by signature, then on the whole texts."""
     sig = nodes.select("node", "sig")
@@ -245,8 +253,7 @@ def _verify(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: flo
     )
     likely = written(estimated, "near-likely")
     wanted = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
-    one = texts.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    one = written(one, "near-texts")
+    one = written(_texts_of(wanted, texts), "near-texts")
     verified = (
         likely.join(one.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
         .join(one.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
@@ -305,10 +312,16 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     stars = written(labelled.join(split, "band").select(F.col("center").alias("a"), F.col("node").alias("b"), "label"), "near-stars")
     groups = connected(stars.select("a", "b")).withColumnRenamed("label", "first")
     rest = written(stars.select(F.col("b").alias("node"), "label").distinct().join(groups, "node"), "near-rest")
-    links = links.union(_between(rest, nodes, texts, threshold))
-    labels = connected(links)
-
-    classed = nodes.join(labels, "node", "left").select("node", "first_id", "copies", F.coalesce("label", "node").alias("label"))
+    more = _between(rest, nodes, texts, threshold)
+    # The new links join components, so only their labels are connected anew.
+    label = F.coalesce("label", "node")
+    sides = [rest.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label")) for c in ("a", "b")]
+    merged = connected(more.join(sides[0], "a").join(sides[1], "b").select(F.col("a_label").alias("a"), F.col("b_label").alias("b")))
+    links = links.union(more)
+
+    classed = nodes.join(labels, "node", "left").select("node", "first_id", "copies", label.alias("label"))
+    new = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    classed = classed.join(new, "label", "left").select("node", "first_id", "copies", F.coalesce("new", "label").alias("label"))
     classed = written(classed, "near-labels")
     ids = classed.groupBy("label").agg(
         F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct("first_id", "node")).alias("first")
