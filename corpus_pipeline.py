@@ -17,6 +17,9 @@ from tidelog.llm.tokenfile import read_blocks, token_files
 from tidelog.llm.toxicity import score, trained
 from tidelog.session import written
 
+#: Expected tokens after mixing, as a multiple of those before.
+SIZE = 1.0
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, fitted on the labelled ones, rejects go."""
@@ -35,8 +38,8 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn so that sources, languages and topics meet their target shares."""
-    return mixed_rows(docs, MIX)
+    """Documents are drawn, some several times, so that sources, languages and topics meet their target shares at the size that came in."""
+    return mixed_rows(docs, MIX, size=SIZE)
 
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,10 +8,12 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.compare import differences
-from tidelog.llm.queries import ORACLES, QUERIES
+from tidelog.llm.queries import MIX, ORACLES, QUERIES
+from tidelog.llm.raking import mix, word_count
 from tidelog.llm.tokenfile import PieceEncoder
 from tidelog.session import written
 
@@ -75,3 +77,21 @@ def test_stages_take_effect(spark, tmp_path):
         ids = [*tokenizer.encode(texts[r.doc_id] or "", add_special_tokens=False).ids, 1]
         assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
         start += len(ids)
+
+
+def test_mixing_keeps_its_size_beside_a_tiny_source(spark):
+    draw = random.Random(4)
+    rows = [(i, sentence(draw, 60), ["en", "de", "fr", "es"][i % 4], "hot") for i in range(2000)]
+    rows += [(2000, sentence(draw, 20), "en", "tiny"), (2001, " ", "en", "tiny"), (2002, None, "en", "tiny")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    total = 2000 * 60 + 20
+    goal = 20**0.5 / (20**0.5 + (2000 * 60) ** 0.5) * total  # tokens of the tiny source, tempered
+    drawn = corpus_pipeline.mixed(spark, docs, "")
+    words = {r[0]: r[1] for r in drawn.groupBy("source").agg(F.sum(word_count(F.col("text")))).collect()}
+    assert abs(words["tiny"] - goal) <= 20 and abs(words["hot"] / (total - goal) - 1) < 0.05
+    assert drawn.where("doc_id > 2000").groupBy("doc_id").count().where("count > 1").isEmpty()
+    langs = {r[0]: r[1] / total for r in drawn.groupBy("lang").agg(F.sum(word_count(F.col("text")))).collect()}
+    assert all(abs(langs[v] - share) < 0.02 for v, share in MIX["lang"].items())
+    rates = mix(docs, MIX, size=0.5)
+    assert rates.where("probability > 1 or probability <= 0").isEmpty()
+    assert abs(rates.agg(F.sum("n_tokens")).first()[0] / (total / 2) - 1) < 0.05

@@ -1,8 +1,9 @@
 """Mixing sources to target weights: raking of token weights, then sampling by calibrated probabilities.
 
 Documents are counted into cells of (source, language, topic). Iterative proportional fitting multiplies
-the cells of one margin after the other by target / present token weight. A document is then drawn with
-its cell's factor, scaled so that the largest probability is 1: the drawn tokens have the
+the cells of one margin after the other by target / present token weight. A document is then drawn by
+its cell's factor, scaled to a stated size: as many whole copies as the factor's whole part and one more with the chance
+of its fraction. Without a size the largest factor is scaled to 1. Either way the drawn tokens have the
 raked shares in expectation. DataFrame functions only; what is repeated is on cells, in the shared folder.
 """
 
@@ -82,32 +83,49 @@ def chance(doc_id: Column) -> Column:
     return F.conv(digest, 16, 10).cast("double") / F.lit(float(2**48))
 
 
-def _rates(rows: DataFrame, wanted: Mapping[str, Target], rounds: int) -> DataFrame:
+def _rates(rows: DataFrame, wanted: Mapping[str, Target], rounds: int, size: float | None) -> DataFrame:
+    """``rate``, the expected copies of a document, for each cell."""
     cells = written(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens")), "rake-cells")
     raked = rake(cells, wanted, rounds)
-    largest = raked.agg(F.max("factor")).first()[0] or 1.0
-    return raked.select(*MARGINS, (F.col("factor") / F.lit(largest)).alias("probability"))
+    present, now, largest = raked.agg(F.sum("tokens"), F.sum(F.col("tokens") * F.col("factor")), F.max("factor")).first()
+    unit = (largest or 1.0) if size is None else (now / present if now else 1.0) / size
+    return raked.select(*MARGINS, (F.col("factor") / F.lit(unit)).alias("rate"))
 
 
-def mix(docs: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS) -> DataFrame:
+def _copies(rows: DataFrame, doc_id: str, rate: str, worded: Column, out: str) -> DataFrame:
+    """Each row once for every copy of it that is drawn; ``out`` is the chance with which that copy is drawn."""
+    expected = F.when(worded, F.col(rate)).otherwise(F.least(F.col(rate), F.lit(1.0)))
+    whole = F.floor(expected)
+    rest = expected - whole
+    sure = F.array_repeat(F.lit(1.0), whole.cast("int"))
+    drawn = F.when(chance(F.col(doc_id)) < rest, F.concat(sure, F.array(rest))).otherwise(sure)
+    return rows.withColumn(out, F.explode(drawn))
+
+
+def mix(docs: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS, size: float | None = None) -> DataFrame:
     """The drawn rows of ``docs`` (``doc_id``, ``text``, ``lang``, ``source``): ``doc_id``, the margins,
     ``n_tokens`` and ``probability``.
 
+    With ``size``, that many times the present tokens are drawn in expectation, and a document whose cell has a rate over 1
+    is drawn several times, a row for each copy: the whole ones with probability 1, the last with the fraction. A
+    text without words counts for no share and is drawn at most once. Without ``size`` the largest factor has
+    probability 1, so one small cell can make all others small.
+
     Null categories are the value ``(none)``, null texts are empty; a value without tokens keeps factor
     1. Rows with one id are drawn alike, by a hash of the id, so a repeated run draws the same rows.
     An empty table gives no rows; other columns are not read.
     """
     rows = written(classified(docs), "rake-rows")
-    rates = _rates(rows, wanted, rounds)
-    drawn = rows.join(rates, list(MARGINS)).where(chance(F.col("doc_id")) < F.col("probability"))
+    rates = _rates(rows, wanted, rounds, size)
+    drawn = _copies(rows.join(rates, list(MARGINS)), "doc_id", "rate", F.col("n_tokens") > 0, "probability")
     return drawn.select("doc_id", *MARGINS, "n_tokens", "probability")
 
 
-def mixed_rows(docs: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS) -> DataFrame:
-    """The rows that :func:`mix` draws, with the columns of ``docs``: its probabilities meet the rows by their cell."""
+def mixed_rows(docs: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS, size: float | None = None) -> DataFrame:
+    """The rows that :func:`mix` draws, with the columns of ``docs``: its rates meet the rows by their cell."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rates = _rates(classified(docs), wanted, rounds).select(
-        *[F.col(m).alias(f"__{m}") for m in MARGINS], F.col("probability").alias("__p")
+    rates = _rates(classified(docs), wanted, rounds, size).select(
+        *[F.col(m).alias(f"__{m}") for m in MARGINS], F.col("rate").alias("__rate")
     )
     placed = docs.withColumns(
         {
@@ -116,5 +134,5 @@ def mixed_rows(docs: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUN
             "__topic": topic_of(text),
         }
     )
-    joined = placed.join(rates, [f"__{m}" for m in MARGINS]).where(chance(F.col("doc_id")) < F.col("__p"))
-    return joined.select(*docs.columns)
+    joined = placed.join(rates, [f"__{m}" for m in MARGINS])
+    return _copies(joined, "doc_id", "__rate", text.rlike(r"[^ \t\n\r]"), "__p").select(*docs.columns)
