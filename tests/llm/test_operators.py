@@ -75,6 +75,16 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({find(i) for i in range(len(texts))})
 
 
+def test_null_id_beside_near_copies_keeps_one_row(spark):
+    draw = random.Random(12)
+    base, lone = sentence(draw, 120), sentence(draw, 120)
+    rows = [(5, base), (7, edited(draw, base, 2)), (None, edited(draw, base, 2)), (None, edited(draw, base, 1)), (None, lone), (None, edited(draw, lone, 2))]
+    members, _ = probminhash.near_duplicates(documents(spark, rows))
+    assert sorted((m.class_id or -1, m.class_size) for m in members.collect()) == [(-1, 2)] * 2 + [(5, 4)] * 4
+    kept = probminhash.deduplicated(documents(spark, rows)).collect()
+    assert sorted(r.doc_id or -1 for r in kept) == [-1, 5]
+
+
 def test_components_of_stars_chains_and_cycles(spark):
     edges = [(0, i) for i in range(1, 50)] + [(i, i + 1) for i in range(100, 140)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
     labels = connected(spark.createDataFrame(edges, "a long, b long"))

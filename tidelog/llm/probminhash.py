@@ -323,9 +323,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     new = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
     classed = classed.join(new, "label", "left").select("node", "first_id", "copies", F.coalesce("new", "label").alias("label"))
     classed = written(classed, "near-labels")
-    ids = classed.groupBy("label").agg(
-        F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), F.min(F.struct("first_id", "node")).alias("first")
-    )
+    # min() skips a null but orders a struct that holds one first: nodes of null ids only come last.
+    first = F.min(F.struct(F.col("first_id").isNull().alias("unnamed"), "first_id", "node")).alias("first")
+    ids = classed.groupBy("label").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), first)
     by_node = classed.join(ids, "label").select("node", "class_id", "class_size", (F.col("node") == F.col("first.node")).alias("is_first"))
     members = signed.select("doc_id", "node").join(by_node, "node")
     return members.select("doc_id", "node", "class_id", "class_size", (F.col("is_first") & F.col("doc_id").eqNullSafe(F.col("class_id"))).alias("kept")), links
