@@ -258,6 +258,15 @@ def test_nearest_equal_brute_force(spark):
     assert onebit.nearest(table.limit(0), F.col("vec_id") % 50 == 0).isEmpty()
 
 
+def test_nearest_beside_repeated_query_rows(spark):
+    same, far = [1.0, 2.0, 3.0], [3.0, -1.0, 2.0]
+    rows = [(0, same)] * 3 + [(i, same) for i in range(1, 11)] + [(20, far), (21, far)] + [(30, [-1.0, 0.5, 0.1])] * 7
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)
+    found = onebit.nearest(table, F.col("vec_id").isin(0, 30), 5).orderBy("query_id", "rank").collect()
+    assert [r.vec_id for r in found if r.query_id == 0] == [1, 2, 3, 4, 5]
+    assert [r.vec_id for r in found if r.query_id == 30] == [0, 0, 0, 1, 2]
+
+
 def test_contaminated_documents(spark):
     draw = random.Random(10)
     items = [(1, sentence(draw, 30)), (2, sentence(draw, 20)), (3, None), (4, ""), (1, None)]

@@ -77,15 +77,19 @@ def _search(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndar
     top_id = np.full((len(ids), k), np.iinfo(np.int64).max)
     for batch in batches:
         names, vectors = batch.column(0).to_numpy(), _matrix(batch.column(1))
-        # Of equal vectors only the k + 1 with the smallest ids can count (one may be the query's own).
+        # Of equal vectors only the k + 1 smallest ids can count (one may be the query's own), and k rows of each id.
         order = np.argsort(names, kind="stable")
         names, vectors = names[order], vectors[order]
         _, same = np.unique(vectors, axis=0, return_inverse=True)
         by = np.argsort(same.ravel(), kind="stable")
-        groups = same.ravel()[by]
-        first = np.concatenate(([0], np.flatnonzero(groups[1:] != groups[:-1]) + 1))
-        place = np.arange(len(by)) - np.repeat(first, np.diff(np.concatenate((first, [len(by)]))))
-        kept = np.sort(by[place <= k])
+        groups, named = same.ravel()[by], names[by]
+        new_group = np.concatenate(([True], groups[1:] != groups[:-1]))
+        new_id = new_group | np.concatenate(([True], named[1:] != named[:-1]))
+        at = np.arange(len(by))
+        id_no = np.cumsum(new_id)
+        place = id_no - id_no[np.maximum.accumulate(np.where(new_group, at, 0))]
+        repeat = at - np.maximum.accumulate(np.where(new_id, at, 0))
+        kept = np.sort(by[(place <= k) & (repeat < k)])
         names, vectors = names[kept], vectors[kept]
         bits, correction = encode(vectors)
         for low in range(0, len(ids), CHUNK):
