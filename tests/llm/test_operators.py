@@ -267,6 +267,21 @@ def test_nearest_beside_repeated_query_rows(spark):
     assert [r.vec_id for r in found if r.query_id == 30] == [0, 0, 0, 1, 2]
 
 
+def test_nearest_fetches_a_block_after_the_last_is_written(spark, monkeypatch):
+    draw = np.random.default_rng(10)
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(draw.standard_normal((60, 8)))], "vec_id long, embedding array<double>")
+    is_query = F.col("vec_id") % 5 == 0
+    whole = onebit.nearest(table, is_query, 3).orderBy("query_id", "rank").collect()
+    steps, fetch, write = [], type(table).toArrow, type(table.write).parquet
+    monkeypatch.setattr(type(table), "toArrow", lambda self: steps.append("fetch") or fetch(self))
+    monkeypatch.setattr(type(table.write), "parquet", lambda self, *a, **b: steps.append("write") or write(self, *a, **b))
+    monkeypatch.setattr(onebit, "QUERY_BLOCK", 5)
+    found = onebit.nearest(table, is_query, 3).orderBy("query_id", "rank").collect()
+    assert found == whole and len(found) == 36
+    steps = steps[steps.index("fetch") :]
+    assert steps.count("fetch") > 1 and all(a != b for a, b in zip(steps, steps[1:])) and steps[-1] == "write"
+
+
 def test_contaminated_documents(spark):
     draw = random.Random(10)
     items = [(1, sentence(draw, 30)), (2, sentence(draw, 20)), (3, None), (4, ""), (1, None)]

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidelog.session import written
+from tidelog.session import shared_dir, written
 
 #: Standard deviations of the estimate that the bounds allow for.
 EPSILON = 4.0
@@ -128,7 +128,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
     asked = usable.where(is_query)
     sizes = asked.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per vector length
     schema = "query_id long, vec_id long, score double"
-    out = usable.sparkSession.createDataFrame([], schema)
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    path, done = shared_dir(usable.sparkSession, "one-bit-nearest"), 0
     for dim, n in sizes:
         blocks = -(-n // QUERY_BLOCK)
         for b in range(blocks):
@@ -140,7 +141,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
             found = usable.where(F.col("dim") == dim).select("vec_id", "v").mapInArrow(
                 lambda batches, ids=ids, queries=queries: _search(batches, ids, queries, k), schema
             )
-            out = out.union(found)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = out.withColumn("rank", F.row_number().over(order))
-    return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            # Written before the next block is fetched, so that the driver holds the queries of one block.
+            found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).write.parquet(f"{path}/block={done}")
+            done += 1
+    if not done:
+        return usable.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return usable.sparkSession.read.parquet(path).select("query_id", "rank", "vec_id", "score")
