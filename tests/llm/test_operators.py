@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import warnings
 import zlib
 from itertools import combinations
 
@@ -111,6 +112,22 @@ def test_raking_meets_its_margins(spark):
     assert raking.mix(documents(spark, []), wanted).isEmpty()
 
 
+def test_raking_reports_margins_it_cannot_meet(spark):
+    cell = "source string, lang string, topic string, tokens long"
+    rows = [(s, v, "prose", 1000 + 100 * k) for k, (s, v) in enumerate([("a", "en"), ("a", "de"), ("b", "en"), ("b", "de")])]
+    wanted = {"source": 0.5, "lang": {"en": 0.5, "de": 0.3}, "topic": 0.8}
+    with pytest.warns(UserWarning, match=r"source=\(none\) off by 9"):  # its source asks for more than its language
+        raking.rake(spark.createDataFrame([*rows, ("(none)", "(none)", "prose", 3)], cell), wanted, rounds=4)
+    # Two rounds leave an error of over 1 %.
+    slow = spark.createDataFrame([("a", "en", "prose", 1000), ("a", "de", "prose", 20), ("b", "de", "prose", 1000), ("b", "en", "prose", 20)], cell)
+    wanted = {"source": {"a": 0.8, "b": 0.2}, "lang": {"en": 0.3, "de": 0.7}}
+    goals = {m: raking.targets(slow, m, t) for m, t in wanted.items()}
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        raked = raking.rake(slow, wanted, rounds=2)
+    assert raking.margin_errors(raked, goals).agg(F.max("error")).first()[0] <= raking.TOLERANCE
+
+
 def test_toxicity_scores_every_row(spark):
     draw = random.Random(3)
     make = lambda bad: sentence(draw, 30) + " vilewort" * bad + " " + sentence(draw, 30)

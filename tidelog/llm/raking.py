@@ -9,6 +9,7 @@ raked shares in expectation. DataFrame functions only; what is repeated is on ce
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,12 @@ from pyspark.sql import functions as F
 from tidelog.session import written
 
 MARGINS = ("source", "lang", "topic")
+#: Rounds at least, and between two measurements of the margins.
 ROUNDS = 12
+#: Largest relative error of a margin's tokens at which raking ends.
+TOLERANCE = 1e-4
+#: Raking ends without it once a further measurement is not 10 % better, or after so many measurements.
+MEASUREMENTS = 20
 NONE = "(none)"
 
 #: Targets of a margin: an exponent tempers the present shares, a mapping states shares by value.
@@ -64,16 +70,40 @@ def targets(cells: DataFrame, margin: str, target: Target) -> DataFrame:
     return shares.select(margin, (F.col("share") / F.lit(norm) * F.lit(float(total))).alias("target"))
 
 
+def margin_errors(cells: DataFrame, goals: Mapping[str, DataFrame]) -> DataFrame:
+    """``margin``, ``value`` and ``error``: how far tokens * factor is off each target, as a part of it."""
+    errors = None
+    for margin, goal in goals.items():
+        now = cells.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("factor")).alias("now")).join(goal, margin).where("target > 0")
+        error = F.abs(F.col("now") / F.col("target") - 1)
+        part = now.select(F.lit(margin).alias("margin"), F.col(margin).alias("value"), error.alias("error"))
+        errors = part if errors is None else errors.union(part)
+    return errors
+
+
 def rake(cells: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS) -> DataFrame:
-    """``cells`` (margins, ``tokens``) with ``factor`` such that tokens * factor has the wanted margins."""
+    """``cells`` (margins, ``tokens``) with ``factor`` such that tokens * factor has the wanted margins.
+
+    After every ``rounds`` rounds the margins are measured, until all are met up to ``TOLERANCE``. Targets that
+    contradict each other cannot be met: then there is a warning that names the worst margins.
+    """
     goals = {m: written(targets(cells, m, t), "rake-goals") for m, t in wanted.items()}
     cells = cells.withColumn("factor", F.lit(1.0))
-    for _ in range(rounds):
-        for margin, goal in goals.items():
-            now = cells.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("factor")).alias("now")).join(goal, margin)
-            step = now.select(margin, F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(F.lit(1.0)).alias("step"))
-            cells = cells.join(step, margin).withColumn("factor", F.col("factor") * F.col("step")).drop("step")
-        cells = written(cells.select(*MARGINS, "tokens", "factor"), "rake-cells")
+    before = float("inf")
+    for measurement in range(MEASUREMENTS):
+        for _ in range(rounds):
+            for margin, goal in goals.items():
+                now = cells.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("factor")).alias("now")).join(goal, margin)
+                step = now.select(margin, F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(F.lit(1.0)).alias("step"))
+                cells = cells.join(step, margin).withColumn("factor", F.col("factor") * F.col("step")).drop("step")
+            cells = written(cells.select(*MARGINS, "tokens", "factor"), "rake-cells")
+        worst = margin_errors(cells, goals).where(F.col("error") > TOLERANCE).orderBy(F.desc("error")).limit(10).collect()
+        if not worst or worst[0].error > 0.9 * before:
+            break
+        before = worst[0].error
+    if worst:
+        named = ", ".join(f"{r.margin}={r.value} off by {r.error:.2%}" for r in worst)
+        warnings.warn(f"margins not met after {(measurement + 1) * rounds} rounds of raking: {named}", stacklevel=2)
     return cells
 
 
