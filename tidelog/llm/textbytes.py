@@ -74,12 +74,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word; ``is_word`` has the bytes that words consist of."""
     if not len(data):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    inside = IS_WORD[data]
+    inside = is_word[data]
     before = np.concatenate(([False], inside[:-1]))
     edges = offsets[(offsets > 0) & (offsets < len(data))]
     before[edges] = False
@@ -90,9 +90,9 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def shingles(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(data: np.ndarray, offsets: np.ndarray, words: int, is_word: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, hash and count of every different run of ``words`` words; a shorter text is one run."""
-    starts, ends, rows = word_spans(data, offsets)
+    starts, ends, rows = word_spans(data, offsets, is_word)
     if not len(starts):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
     hashes = span_hashes(data, starts, ends)
