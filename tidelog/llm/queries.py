@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.chat import read_chats, write_chats
 from tidelog.llm.decontam import contaminated
+from tidelog.llm.maxsketch import ranked
+from tidelog.llm.ngramjoin import similar_sets
 from tidelog.llm.onebit import nearest
 from tidelog.llm.pii import BASE_KINDS, personal_data
 from tidelog.llm.probminhash import near_duplicates
 from tidelog.llm.raking import ROUNDS, mix
 from tidelog.llm.secretscan import BASE, secrets
 from tidelog.llm.spans import digest_columns
+from tidelog.llm.spelling import variants
 from tidelog.llm.tokenfile import read_blocks, token_files
 from tidelog.llm.toxicity import held_out, score, trained
 from tidelog.llm.urlrules import judge
@@ -159,3 +162,50 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The personal data of every document."""
     found = personal_data(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", *digest_columns(F.col("spans"), BASE_KINDS))
+
+
+@_query
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of shingles and the component that links of 80 % overlap make."""
+    members, _ = similar_sets(_table(spark, sf_dir, "documents"))
+    return members.select("doc_id", "n_shingles", "component_id")
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+ORACLES["op11_ngram_join"] = f"""
+WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS MATERIALIZED (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s FROM words),
+held AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM held x JOIN held y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+  GROUP BY x.doc_id, y.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (SELECT doc_id, doc_id FROM sets UNION SELECT reach.doc_id, l.b FROM reach JOIN both_ways l ON l.a = reach.other),
+lowest AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id FROM sets JOIN lowest USING (doc_id)"""
+
+
+@_query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words, the form it is a variant of, and the root of its forms."""
+    return variants(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that rank highest for every benchmark item."""
+    return ranked(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), k=10)
+
+
+_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+ORACLES["op13_ranked_search"] = f"""
+WITH tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest({_TERMS}) AS term FROM documents) GROUP BY ALL),
+size AS MATERIALIZED (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS MATERIALIZED (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size),
+weight AS MATERIALIZED (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, total GROUP BY term, docs),
+norm AS MATERIALIZED (SELECT doc_id, 100 - 90 + (90 * n * docs) // terms AS m FROM size, total),
+item AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM item JOIN weight USING (term) JOIN tf USING (term) JOIN norm USING (doc_id) GROUP BY item_id, doc_id),
+placed AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM placed WHERE rank <= 10"""
