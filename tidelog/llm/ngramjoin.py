@@ -32,6 +32,12 @@ FRAGMENTS = 16
 BLOCK = 512
 #: Nodes with so many times fewer rows than the table are copied freely; the others (fewer than this) emit once.
 COPIES_SHARE = 1000
+#: Parts of the shingles' hashes whose counts bound a pair's overlap (a power of two).
+PARTS = 64
+#: Comparisons of two rows of a cell at a time.
+STEP = 1_000_000
+#: Slots of the filter that spares texts without candidates the shuffle. With more candidates it spares less, no more.
+SLOTS = 1 << 20
 SLICE_BYTES = 2_000_000
 
 #: Words end at blanks, tabs and line ends only.
@@ -41,6 +47,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _OTHER = np.uint64(0x6A09E667F3BCC909)
 _LATE = np.uint64(1 << 63)
+_FULL = 65_535
 
 
 def _sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -80,17 +87,35 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size = np.diff(start)
             ids = batch.column(0)
             none = pa.nulls(batch.num_rows, pa.int64())
-            sizes = pa.array(size, pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, batch.column(1), _binary(high, low), sizes, none, none], _SCANNED)
+            columns = [ids, batch.column(1), _binary(high, low), pa.array(size, pa.int64()), _profiles(names, size), none, none]
+            yield pa.RecordBatch.from_arrays(columns, _SCANNED)
             kept = _new(high, low)
             held = np.repeat(np.isin(np.arange(len(size)), kept), size)
             shared, count = np.unique(names[held], return_counts=True)
             shared, count = shared[count > 1].view(np.int64), count[count > 1]
-            blank = [pa.nulls(len(shared), t) for t in (ids.type, pa.binary(), pa.binary(), pa.int64())]
+            blank = [pa.nulls(len(shared), t) for t in (ids.type, pa.binary(), pa.binary(), pa.int64(), pa.binary())]
             yield pa.RecordBatch.from_arrays([*blank, pa.array(shared), pa.array(count, pa.int64())], _SCANNED)
 
 
-_SCANNED = ["doc_id", "text_key", "node", "n", "shingle", "sets"]
+_SCANNED = ["doc_id", "text_key", "node", "n", "profile", "shingle", "sets"]
+
+
+def _profiles(names: np.ndarray, size: np.ndarray) -> pa.Array:
+    """How many shingles of each set fall into each of ``PARTS`` equal parts of the hashes."""
+    row = np.repeat(np.arange(len(size)), size)
+    part = (names >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64)
+    count = np.bincount(row * PARTS + part, minlength=len(size) * PARTS)
+    raw = np.minimum(count, _FULL).astype("<u2").tobytes()
+    return pa.Array.from_buffers(pa.binary(2 * PARTS), len(size), [None, pa.py_buffer(raw)]).cast(pa.binary())
+
+
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose parts, each with the smaller count of the two, hold enough together."""
+    for batch in batches:
+        if batch.num_rows:
+            x, y = (column_bytes(batch.column(c))[0].view("<u2").reshape(-1, PARTS).astype(np.int64) for c in (3, 4))
+            most = np.where((x == _FULL) & (y == _FULL), 2**40, np.minimum(x, y)).sum(1)
+            yield batch.filter(pa.array(most >= batch.column(2).to_numpy())).select(["a", "b", "need"])
 
 
 class Order:
@@ -142,33 +167,49 @@ def _prefixes(batches: Iterator[pa.RecordBatch], order: Order, copied: dict[byte
 
 
 def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by shingle, place and node, without repeats and without shingles of one node; each row with its bucket's first."""
-    held = np.zeros((0, 5), np.int64)
-    lead, followed = np.zeros((0, 3), np.int64), False
+    """Rows sorted by shingle, place and node, each with the first of its bucket; ``more`` marks buckets of three or more.
+
+    Repeats and shingles of one node are left out. Of a bucket of two only the second row is kept, if
+    the pair can reach the threshold.
+    """
+    held = np.zeros((0, 5), np.int64)  # rows of the open bucket that are not out yet: two at most
+    last, lead, seen = None, None, 0
     for end, batch in _then_none(batches):
-        fresh = np.zeros((0, 5), np.int64) if end else np.stack([c.to_numpy() for c in batch.columns], 1)
-        rows = np.concatenate((held, fresh))
+        rows = held if end else np.concatenate((held, np.stack([c.to_numpy() for c in batch.columns], 1)))
         if not len(rows):
             continue
-        new = np.ones(len(rows), bool)
-        new[1:] = (rows[1:, :3] != rows[:-1, :3]).any(1)
+        before = np.concatenate((rows[:1] if last is None else last[None], rows[:-1]))
+        new = (rows[:, :3] != before[:, :3]).any(1)
+        new[0] |= last is None
+        last = rows[-1]
         rows = rows[new]
+        if not len(rows):
+            continue
+        goes_on = bool(seen and rows[0, 0] == lead[0])
         first = np.ones(len(rows), bool)
         first[1:] = rows[1:, 0] != rows[:-1, 0]
-        first[0] = not (len(held) and followed)
-        head = np.maximum.accumulate(np.where(first, np.arange(len(rows)), -1))
-        hubs = rows[np.maximum(head, 0)]
-        hubs[head < 0] = lead if len(lead) else 0
-        next_same = np.zeros(len(rows), bool)
-        next_same[:-1] = ~first[1:]
-        keep = ~first | next_same
-        stop = len(rows) if end else len(rows) - 1
-        out, hub = rows[:stop][keep[:stop]], hubs[:stop][keep[:stop]]
+        start = np.flatnonzero(first)
+        size = np.diff(np.append(start, len(rows)))
+        hubs = rows[start]
+        total = size.copy()
+        if goes_on:
+            hubs[0], total[0] = lead, total[0] + seen
+        hub, total = np.repeat(hubs, size, axis=0), np.repeat(total, size)
+        out = total > 1
+        pair = total == 2
+        out[pair] &= ~first[pair] & (9 * np.minimum(rows[pair, 4] - rows[pair, 3], hub[pair, 4] - hub[pair, 3]) >= 4 * (rows[pair, 4] + hub[pair, 4]))
+        stop = len(rows)
+        if not end and total[-1] < 3:
+            stop = int(start[-1])
+            held, seen, last = rows[stop:], 0, None
+            # The held rows are compared anew with what follows them.
+        else:
+            held, lead, seen = rows[:0], hub[-1], int(total[-1])
+        out, hub, more = rows[:stop][out[:stop]], hub[:stop][out[:stop]], total[:stop][out[:stop]] > 2
         if len(out):
             columns = [pa.array(out[:, 0]), _binary(out[:, 1], out[:, 2]), pa.array(out[:, 3]), pa.array(out[:, 4])]
-            columns += [_binary(hub[:, 1], hub[:, 2]), pa.array(hub[:, 3]), pa.array(hub[:, 4])]
-            yield pa.RecordBatch.from_arrays(columns, ["shingle", "node", "at", "n", "hub", "hub_at", "hub_n"])
-        held, lead, followed = rows[-1:], hubs[-1], bool(~first[-1])
+            columns += [_binary(hub[:, 1], hub[:, 2]), pa.array(hub[:, 3]), pa.array(hub[:, 4]), pa.array(more)]
+            yield pa.RecordBatch.from_arrays(columns, ["shingle", "node", "at", "n", "hub", "hub_at", "hub_n", "more"])
 
 
 def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch | None]]:
@@ -219,13 +260,16 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["a", "b", "need", "overlap"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, texts: DataFrame, order: Order) -> DataFrame:
+def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, order: Order) -> DataFrame:
     """The pairs (``a``, ``b``, ``need``) whose fragments' overlaps sum to ``need`` or more."""
-    pairs = written(pairs, "join-pairs")
+    profile = lambda c: nodes.select(F.col("node").alias(c), F.col("profile").alias(f"{c}_profile"))
+    known = pairs.join(profile("a"), "a").join(profile("b"), "b").select("a", "b", "need", "a_profile", "b_profile")
+    pairs = written(known.mapInArrow(_possible, "a binary, b binary, need long"), "join-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    keys = sets.join(wanted.hint("merge"), "node").groupBy("node").agg(F.min("text_key").alias("text_key"))
-    found = texts.join(keys.select("text_key").hint("merge"), "text_key", "left_semi").dropDuplicates(["text_key"])
-    named = found.join(keys.hint("merge"), "text_key").select("node", "text")
+    keys = written(nodes.join(wanted.hint("merge"), "node").select("node", "text_key"), "join-keys")
+    slot = F.pmod(F.xxhash64("text_key"), F.lit(SLOTS)).cast("int").alias("slot")
+    some = texts.withColumn("slot", slot).join(F.broadcast(keys.select(slot).distinct()), "slot", "left_semi")
+    named = some.select("text_key", "text").dropDuplicates(["text_key"]).join(keys.hint("merge"), "text_key").select("node", "text")
     segments = written(named.mapInArrow(lambda b: _segments(b, order), "node binary, fragment int, places binary"), "join-segments")
 
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
@@ -247,36 +291,40 @@ def _open_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = held if end else pa.Table.from_batches([batch])
         if not end and held is not None:
             table = pa.concat_tables([held, table])
-        if table is None:
+        if table is None or not table.num_rows:
             continue
         key = np.stack((table.column("shingle").to_numpy(), table.column("block").to_numpy()), 1)
-        cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist()]
-        cuts += [table.num_rows] if end else []
-        for low, high in zip(cuts, cuts[1:]):
-            if (out := _cell_pairs(table.slice(low, high - low))) is not None:
-                yield out
-        held = None if end else table.slice(cuts[-1]).combine_chunks()
-
-
-def _cell_pairs(cell: pa.Table) -> pa.RecordBatch | None:
-    n, rest = cell.column("n").to_numpy(), cell.column("n").to_numpy() - cell.column("at").to_numpy()
-    label = cell.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
-    inner, own = cell.column("inner").to_numpy(), cell.column("own").to_numpy()
-    here = np.flatnonzero(own)
-    left, right = [], []
-    for r in np.flatnonzero(~inner):
+        cuts = np.concatenate(([0], np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1, [table.num_rows]))
+        whole = int(cuts[-1 if end else -2])
+        yield from _cell_pairs(table.slice(0, whole), cuts[: len(cuts) if end else -1])
+        held = None if end else table.slice(whole).combine_chunks()
+
+
+def _cell_pairs(rows: pa.Table, cuts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The open pairs of all cells of ``rows``, which lie between ``cuts``; ``STEP`` comparisons at a time."""
+    n, at = (rows.column(c).to_numpy() for c in ("n", "at"))
+    rest = n - at
+    node, label = (rows.column(c).combine_chunks() for c in ("node", "label"))
+    label = label.dictionary_encode().indices.to_numpy()
+    inner, own = (rows.column(c).to_numpy() for c in ("inner", "own"))
+    size = np.diff(cuts)
+    start, size = np.repeat(cuts[:-1], size), np.repeat(size, size)
+    asks = np.flatnonzero(~inner)
+    work = np.cumsum(size[asks])
+    low = 0
+    while low < len(asks):
+        high = max(low + 1, int(np.searchsorted(work, (work[low - 1] if low else 0) + STEP, "right")))
+        r = asks[low:high]
+        low = high
+        left = np.repeat(r, size[r])
+        right = np.arange(len(left)) - np.repeat(np.cumsum(size[r]) - size[r], size[r]) + start[left]
         # Of two rows that are both dealt to all blocks the pair belongs to the block of the later one.
-        other = here[inner[here] | (here > r)] if own[r] else here
-        fits = (label[other] != label[r]) & (9 * np.minimum(rest[other], rest[r]) >= 4 * (n[other] + n[r]))
-        other = other[fits]
-        left.append(np.full(len(other), r))
-        right.append(other)
-    if not left or not sum(map(len, right)):
-        return None
-    left, right = np.concatenate(left), np.concatenate(right)
-    node = cell.column("node").combine_chunks()
-    need = (4 * (n[left] + n[right]) + 8) // 9
-    return pa.RecordBatch.from_arrays([node.take(pa.array(left)), node.take(pa.array(right)), pa.array(need)], ["a", "b", "need"])
+        fits = own[right] & (label[right] != label[left]) & (inner[right] | ~own[left] | (right > left))
+        fits &= 9 * np.minimum(rest[left], rest[right]) >= 4 * (n[left] + n[right])
+        left, right = left[fits], right[fits]
+        if len(left):
+            need = (4 * (n[left] + n[right]) + 8) // 9
+            yield pa.RecordBatch.from_arrays([node.take(pa.array(left)), node.take(pa.array(right)), pa.array(need)], ["a", "b", "need"])
 
 
 def _across(buckets: DataFrame, labels: DataFrame) -> DataFrame:
@@ -285,13 +333,15 @@ def _across(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     Rows of the component of a bucket's first set are dealt to blocks, all others meet every block; only pairs
     that the length behind their common shingle allows leave a cell.
     """
-    label = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
-    named = buckets.join(label("node"), "node", "left").join(label("hub"), "hub", "left")
-    named = named.select("shingle", "node", "at", "n", F.coalesce("node_label", "node").alias("label"), F.coalesce("hub_label", "hub").alias("main"))
+    named = buckets.where("more").join(labels, "node", "left")
+    named = named.select("shingle", "node", "at", "n", "hub", F.coalesce("label", "node").alias("label"))
     sizes = named.groupBy("shingle").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"), F.min("label").alias("low"), F.max("label").alias("high")
+        F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"),
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        F.max(F.when(F.col("node") == F.col("hub"), F.col("label"))).alias("main"),
     )
-    sizes = sizes.where("low <> high").select("shingle", "blocks")
+    sizes = sizes.where("low <> high").select("shingle", "blocks", "main")
     rows = named.join(sizes, "shingle").withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     rows = rows.withColumn("inner", F.col("label") == F.col("main"))
     to = F.when(F.col("inner"), F.array("mine")).otherwise(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -318,10 +368,11 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select("doc_id", F.unhex(F.md5(text.cast("binary"))).alias("text_key"), text.alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    scanned = written(texts.mapInArrow(_scan, f"doc_id {id_type}, text_key binary, node binary, n long, shingle long, sets long"), "join-scan")
-    sets = scanned.where(F.col("n").isNotNull()).select("doc_id", "text_key", "node", "n")
+    scanned = written(texts.mapInArrow(_scan, f"doc_id {id_type}, text_key binary, node binary, n long, profile binary, shingle long, sets long"), "join-scan")
+    sets = scanned.where(F.col("n").isNotNull()).select("doc_id", "text_key", "node", "n", "profile")
 
-    nodes = written(sets.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), F.min("doc_id").alias("first_id"), F.first("n").alias("n")), "join-nodes")
+    about = [F.min("doc_id").alias("first_id"), F.min("text_key").alias("text_key"), F.first("n").alias("n"), F.first("profile").alias("profile")]
+    nodes = written(sets.where("n > 0").groupBy("node").agg(F.count(F.lit(1)).alias("rows"), *about), "join-nodes")
     n_rows, total = nodes.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
     often = scanned.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("sets").alias("sets"))
     top = often.orderBy(F.desc("sets"), "shingle").limit(RANKED).toArrow()  # at most RANKED rows
@@ -332,15 +383,15 @@ def similar_sets(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     first = docs.select("doc_id", text.alias("text")).mapInArrow(lambda b: _prefixes(b, order, copied), "shingle long, high long, low long, at long, n long")
     first = first.repartition("shingle").sortWithinPartitions("shingle", "at", "high", "low").select("shingle", "high", "low", "at", "n")
-    buckets = written(first.mapInArrow(_buckets, "shingle long, node binary, at long, n long, hub binary, hub_at long, hub_n long"), "join-buckets")
+    buckets = written(first.mapInArrow(_buckets, "shingle long, node binary, at long, n long, hub binary, hub_at long, hub_n long, more boolean"), "join-buckets")
 
     fits = F.expr("9 * least(n - at, hub_n - hub_at) >= 4 * (n + hub_n)")
     need = F.expr("(4 * (n + hub_n) + 8) div 9").alias("need")
     with_hub = buckets.where(F.col("node") != F.col("hub")).where(fits).select(F.col("hub").alias("a"), F.col("node").alias("b"), need).distinct()
     text_of = texts.select("text_key", "text")
-    links = _linked(with_hub, sets, text_of, order)
+    links = _linked(with_hub, nodes, text_of, order)
     labels = written(connected(links), "join-labels")
-    more = _linked(_across(buckets, labels), sets, text_of, order)
+    more = _linked(_across(buckets, labels), nodes, text_of, order)
 
     # Labels of the second links join those of the first.
     side = lambda c: labels.select(F.col("node").alias(c), F.col("label").alias(f"{c}_label"))
