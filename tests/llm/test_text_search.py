@@ -210,3 +210,17 @@ def test_bounds_hold_and_spare_work():
     maxsketch.rescored(part, np.arange(1500), items, best)
     assert (best.score == -np.sort(-exact, axis=1)[:, :10]).all()
     assert best.scored < 20 * 1500 / 4
+
+
+def test_profiles_bound_the_overlap():
+    draw = np.random.default_rng(10)
+    for n, m, common in ((1, 1, 1), (40, 50, 30), (900, 1100, 850), (900, 1100, 5), (30_000, 26_000, 25_000), (30_000, 26_000, 0)):
+        names = draw.integers(0, 2**64, n + m - common, dtype=np.uint64)
+        x, y = ngramjoin._profiles(np.concatenate((names[:n], names[n - common :])), np.array([n, m])).to_pylist()
+        most = ngramjoin._most(x, y)
+        assert common <= most <= min(n, m) and ngramjoin._most(y, x) == most
+        if n > 500 and common < n / 2:
+            assert 9 * most < 4 * (n + m)
+    same = np.full(600, 7, np.uint64)  # one full part
+    x, y = ngramjoin._profiles(np.concatenate((same, same)), np.array([600, 600])).to_pylist()
+    assert ngramjoin._most(x, y) >= 600

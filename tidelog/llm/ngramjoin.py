@@ -32,8 +32,8 @@ FRAGMENTS = 16
 BLOCK = 512
 #: Nodes with so many times fewer rows than the table are copied freely; the others (fewer than this) emit once.
 COPIES_SHARE = 1000
-#: Parts of the shingles' hashes whose counts bound a pair's overlap (a power of two).
-PARTS = 64
+#: Parts of the shingles' hashes whose counts bound a pair's overlap: at least two to this power.
+LEAST_BITS = 4
 #: Comparisons of two rows of a cell at a time.
 STEP = 1_000_000
 #: Slots of the filter that spares texts without candidates the shuffle. With more candidates it spares less, no more.
@@ -47,7 +47,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _OTHER = np.uint64(0x6A09E667F3BCC909)
 _LATE = np.uint64(1 << 63)
-_FULL = 65_535
+_FULL = 255
 
 
 def _sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -101,21 +101,29 @@ _SCANNED = ["doc_id", "text_key", "node", "n", "profile", "shingle", "sets"]
 
 
 def _profiles(names: np.ndarray, size: np.ndarray) -> pa.Array:
-    """How many shingles of each set fall into each of ``PARTS`` equal parts of the hashes."""
+    """How many shingles of each set fall into equal parts of the hashes: one byte a part, four to eight shingles on average."""
+    bits = np.maximum(LEAST_BITS, np.ceil(np.log2(np.maximum(1, size / 8)))).astype(np.int64)
+    start = np.concatenate(([0], np.cumsum(1 << bits)))
     row = np.repeat(np.arange(len(size)), size)
-    part = (names >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64)
-    count = np.bincount(row * PARTS + part, minlength=len(size) * PARTS)
-    raw = np.minimum(count, _FULL).astype("<u2").tobytes()
-    return pa.Array.from_buffers(pa.binary(2 * PARTS), len(size), [None, pa.py_buffer(raw)]).cast(pa.binary())
+    part = (names >> (np.uint64(64) - bits[row].astype(np.uint64))).astype(np.int64)
+    count = np.bincount(start[row] + part, minlength=int(start[-1]))
+    raw = np.minimum(count, _FULL).astype(np.uint8).tobytes()
+    return pa.array([raw[s:e] for s, e in zip(start[:-1].tolist(), start[1:].tolist())], pa.binary())
+
+
+def _most(x: bytes, y: bytes) -> int:
+    """The largest overlap that two profiles allow; the finer one is folded to the parts of the coarser."""
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (x, y))
+    parts = min(len(x), len(y))
+    x, y = (np.where(v == _FULL, 2**40, v).reshape(parts, -1).sum(1) for v in (x, y))
+    return int(np.minimum(x, y).sum())
 
 
 def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose parts, each with the smaller count of the two, hold enough together."""
     for batch in batches:
-        if batch.num_rows:
-            x, y = (column_bytes(batch.column(c))[0].view("<u2").reshape(-1, PARTS).astype(np.int64) for c in (3, 4))
-            most = np.where((x == _FULL) & (y == _FULL), 2**40, np.minimum(x, y)).sum(1)
-            yield batch.filter(pa.array(most >= batch.column(2).to_numpy())).select(["a", "b", "need"])
+        most = [_most(x, y) for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())]
+        yield batch.filter(pa.array(np.array(most, np.int64) >= batch.column(2).to_numpy())).select(["a", "b", "need"])
 
 
 class Order:
@@ -263,7 +271,7 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, order: Order) -> DataFrame:
     """The pairs (``a``, ``b``, ``need``) whose fragments' overlaps sum to ``need`` or more."""
     profile = lambda c: nodes.select(F.col("node").alias(c), F.col("profile").alias(f"{c}_profile"))
-    known = pairs.join(profile("a"), "a").join(profile("b"), "b").select("a", "b", "need", "a_profile", "b_profile")
+    known = pairs.hint("merge").join(profile("a"), "a").join(profile("b").hint("merge"), "b").select("a", "b", "need", "a_profile", "b_profile")
     pairs = written(known.mapInArrow(_possible, "a binary, b binary, need long"), "join-pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     keys = written(nodes.join(wanted.hint("merge"), "node").select("node", "text_key"), "join-keys")
@@ -274,10 +282,10 @@ def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, order: Order)
 
     blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     dealt = pairs.join(blocks, "a").select("a", "b", "need", F.pmod(F.xxhash64("b"), "blocks").cast("int").alias("block"))
-    partners = dealt.join(segments.withColumnRenamed("node", "b"), "b").select("a", "b", "need", "places", "fragment", "block")
+    partners = dealt.join(segments.withColumnRenamed("node", "b").hint("merge"), "b").select("a", "b", "need", "places", "fragment", "block")
     none = [F.lit(None).cast("binary").alias("b"), F.lit(None).cast("long").alias("need")]
     each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
-    own = blocks.select("a", each).join(segments.withColumnRenamed("node", "a"), "a").select("a", *none, "places", "fragment", "block")
+    own = blocks.select("a", each).join(segments.withColumnRenamed("node", "a").hint("merge"), "a").select("a", *none, "places", "fragment", "block")
     rows = partners.union(own).repartition("a", "fragment", "block").sortWithinPartitions("a", "fragment", "block", F.asc_nulls_first("b"))
     counted = rows.select("a", "b", "need", "places").mapInArrow(_partial, "a binary, b binary, need long, overlap long")
     total = counted.groupBy("a", "b", "need").agg(F.sum("overlap").alias("overlap"))
