@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, NumericType, StringType
 
 from tidelog.session import written
 
@@ -32,9 +34,44 @@ def salt_count(rows: DataFrame) -> int:
     return int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+@dataclass(frozen=True)
+class Measured:
+    """A written table, and whether it is small enough to be broadcast."""
+
+    frame: DataFrame
+    small: bool
+
+    def part(self, where: Column | str, *columns: str) -> Measured:
+        """Some rows and columns of it; of a small table they are small as well."""
+        return Measured(self.frame.where(where).select(*columns), self.small)
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """The size of a row as text or as numbers of eight bytes."""
+    sizes = [F.lit(0).cast("bigint")]
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(field.name), F.lit(0)).cast("bigint"))
+        elif isinstance(field.dataType, NumericType):
+            sizes.append(F.lit(8).cast("bigint"))
+        else:
+            sizes.append(F.length(F.to_json(F.struct(field.name))).cast("bigint"))
+    return reduce(lambda a, b: a + b, sizes)
+
+
+def measured(df: DataFrame, name: str = "lookup") -> Measured:
+    """``df`` computed once, into a table; its rows and bytes are counted by the job that writes it."""
+    seen = Observation()
+    # The sizes are a column of their own below the count, since some expressions cannot be observed.
+    sized = df.withColumn("_bytes", _row_bytes(df)).observe(seen, F.count(F.lit(1)).alias("n"), F.sum("_bytes").alias("bytes"))
+    frame = written(sized.drop("_bytes"), name)
+    size = seen.get
+    return Measured(frame, size["n"] <= BROADCAST_ROWS and (size["bytes"] or 0) <= BROADCAST_BYTES)
+
+
 def lookup_join(
     rows: DataFrame,
-    lookup: DataFrame,
+    lookup: DataFrame | Measured,
     on: Sequence[str],
     how: str = "left",
     spread: Column | None = None,
@@ -42,7 +79,7 @@ def lookup_join(
 ) -> DataFrame:
     """``rows`` joined with ``lookup`` on ``on``, balanced whatever the keys of ``rows``.
 
-    The lookup side is computed once, into a table, and measured (rows, and bytes as text). If it is small it is broadcast
+    The lookup side is computed once, into a table, and measured (rows, and bytes), unless it comes ``Measured`` already. If it is small it is broadcast
     and ``rows`` are not shuffled at all. Otherwise rows of a heavy key are dealt out to as many
     slices as there are shuffle partitions and the matching lookup rows are repeated once
     per slice, so that only the few heavy keys are replicated. Rows with a NULL key match nothing
@@ -53,10 +90,10 @@ def lookup_join(
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join keeps the rows of its left side; {how!r} does not")
     on = list(on)
-    lookup = written(lookup, "lookup")
-    size = F.sum(F.length(F.to_json(F.struct(*lookup.columns))))
-    n_rows, n_bytes = lookup.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
-    if n_rows <= BROADCAST_ROWS and n_bytes <= BROADCAST_BYTES:
+    if not isinstance(lookup, Measured):
+        lookup = measured(lookup)
+    small, lookup = lookup.small, lookup.frame
+    if small:
         return rows.join(F.broadcast(lookup), on, how)
     salts = salt_count(rows)
     heavy = heavy_keys((key_sample or rows).select(*on), on).withColumn("_heavy", F.lit(True))
