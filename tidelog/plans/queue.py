@@ -147,11 +147,16 @@ def queue_after(fx: Fixtures, position):
               CAST(NULL AS VARCHAR) AS old, CAST(NULL AS VARCHAR) AS metadata FROM {fx_crud}""",
 )
 def crud_scan(fx: Fixtures):
+    return queue.crud_scan(entry_texts(fx))
+
+
+def entry_texts(fx: Fixtures):
+    """The queue as it is stored: ``(id, tx_id, data)`` with the JSON text of each entry."""
     text = F.concat(
         F.lit('{"op":"'), "op", F.lit('","type":"'), "type", F.lit('","id":"'), "row_id", F.lit('"'),
         F.coalesce(F.concat(F.lit(',"data":'), "data"), F.lit("")), F.lit("}"),
     )
-    return queue.crud_scan(fx.fx_crud.select("id", "tx_id", text.alias("data")))
+    return fx.fx_crud.select("id", "tx_id", text.alias("data"))
 
 
 RUNS = """

@@ -12,7 +12,6 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from tidelog.operators.feed import declared_rows, untyped_rows
 from tidelog.schema import Schema
@@ -51,10 +50,9 @@ class StateStore:
 
     def current(self) -> tuple[int, dict[str, str]]:
         """The newest version and the folder of each of its tables; version -1 when there is none."""
-        try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits)
-        except AnalysisException:
+        if not child_names(self.spark, self._commits):
             return -1, {}
+        commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits)
         newest = commits.agg(F.max("version").alias("v")).scalar()
         rows = commits.where(F.col("version") == newest).distinct().collect()
         if not rows:
@@ -125,10 +123,9 @@ class StateStore:
 
         A reader that still reads an older version fails, so keep as many as readers may lag behind.
         """
-        try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits)
-        except AnalysisException:
+        if not child_names(self.spark, self._commits):
             return
+        commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commits)
         known = sorted(r["version"] for r in commits.select("version").distinct().collect())
         if len(known) <= versions:
             return
