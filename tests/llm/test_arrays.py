@@ -11,7 +11,7 @@ import pytest
 from tidelog.llm.automaton import compile_rules, scan
 from tidelog.llm.chat import CONTROLS, escape, unescape
 from tidelog.llm.decontam import Matcher, myers, normal
-from tidelog.llm.onebit import cosines, encode, estimates
+from tidelog.llm.onebit import Best, cosines, encode, estimates, search_batch
 from tidelog.llm.probminhash import probability_jaccard, signatures
 from tidelog.llm.secretscan import ADDED, BASE, compiled, find
 from tidelog.llm.textbytes import column_bytes, shingles, word_spans
@@ -149,6 +149,18 @@ def test_estimates_keep_within_their_bounds():
     assert (np.abs(guess - exact) <= error).mean() > 0.9999 and exact[0, 5] == exact[0, 6]
 
 
+def test_codes_choose_few_vectors_to_rerank():
+    vectors = np.random.default_rng(8).standard_normal((4000, 64))
+    batch = pa.record_batch([pa.array(range(4000)), pa.array(list(vectors))], ["vec_id", "v"])
+    best = Best(40, 5)
+    search_batch(batch, np.arange(40), vectors[:40], best)
+    for q in range(40):
+        exact = cosines(np.broadcast_to(vectors[q], vectors.shape), vectors)
+        exact[q] = -2
+        assert best.name[q].tolist() == np.lexsort((np.arange(4000), -exact))[:5].tolist()
+    assert best.compared < 40 * 4000 / 10
+
+
 def test_gradients_of_the_network():
     net = Network()
     words = read_words(*column_bytes(pa.array(["the bad cat sat", "zz yy xx", "", "q " * 60])))

@@ -1,10 +1,11 @@
 """Nearest neighbours by cosine from randomly rotated one-bit codes, with exact reranking.
 
-A unit vector is rotated by a fixed random rotation and kept as the signs of its components, packed to
+A unit vector is rotated by fixed random rotations and kept as the signs of its components, packed to
 bits. With the correction ``o = <sign vector, rotated vector> / sqrt(dim)`` the inner product with a rotated
 query q is estimated as ``<sign vector, q> / (sqrt(dim) * o)``, with an error of at most
-``EPSILON * sqrt((1 - o * o) / (dim - 1)) / o`` but for a vanishing chance. A vector whose upper bound is below the
-k-th largest lower bound cannot be among the k nearest; only the others are computed exactly.
+``EPSILON * sqrt((1 - o * o) / (dim - 1)) / o`` but for a vanishing chance. The estimates of several rotations are
+averaged. A vector whose upper bound is below the k-th largest cosine found so far cannot be among the k nearest; only
+the others are computed exactly, some pairs at a time.
 
 All queries meet all vectors: the queries are dealt to the tasks in blocks of bounded size, one pass
 for each block, and a task keeps k vectors for each query. There is no cap on reranked vectors.
@@ -13,6 +14,7 @@ for each block, and a task keeps k vectors for each query. There is no cap on re
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,32 +25,40 @@ from tidelog.session import shared_dir, written
 
 #: Standard deviations of the estimate that the bounds allow for.
 EPSILON = 4.0
+#: Bits of a code: as many rotations as are needed for them.
+CODE_BITS = 512
 #: Queries of one pass: together with the codes of a batch this bounds what a task holds.
 QUERY_BLOCK = 4096
-#: Queries that are compared with a batch of vectors at once.
-CHUNK = 256
+#: Queries, and vectors, that are compared at once, and pairs whose cosines are computed at once.
+CHUNK, BATCH, PAIRS = 256, 2048, 32_768
 
 
-def rotation(dim: int, seed: int = 11) -> np.ndarray:
-    """A random orthogonal matrix, the same on every machine."""
-    q, r = np.linalg.qr(np.random.Generator(np.random.PCG64(seed)).standard_normal((dim, dim)))
-    return q * np.sign(np.diag(r))
+@lru_cache(maxsize=8)
+def rotations(dim: int, seed: int = 11) -> np.ndarray:
+    """Random orthogonal matrices, one below the other, the same on every machine: ``CODE_BITS`` bits of code or more."""
+    draw = np.random.Generator(np.random.PCG64(seed))
+    parts = [np.linalg.qr(draw.standard_normal((dim, dim))) for _ in range(-(-CODE_BITS // dim))]
+    return np.concatenate([q * np.sign(np.diag(r)) for q, r in parts])
 
 
 def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed signs and correction of each row (double precision, not zero)."""
-    turned = (vectors / np.sqrt((vectors * vectors).sum(1))[:, None]) @ rotation(vectors.shape[1]).T
-    return np.packbits(turned > 0, axis=1), np.abs(turned).sum(1) / np.sqrt(vectors.shape[1])
+    """Packed signs of each row (double precision, not zero) under all rotations, and a correction for each rotation."""
+    dim = vectors.shape[1]
+    turned = (vectors / np.sqrt((vectors * vectors).sum(1))[:, None]) @ rotations(dim).T
+    return np.packbits(turned > 0, axis=1), np.abs(turned).reshape(len(vectors), -1, dim).sum(2) / np.sqrt(dim)
 
 
 def estimates(bits: np.ndarray, correction: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For unit ``queries`` (rows) and codes (columns) the estimated cosines, and the error bound of each code."""
-    dim = queries.shape[1]
-    signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
-    turned = (queries @ rotation(dim).T).astype(np.float32)
-    raw = (turned @ signs.T) / np.sqrt(dim)
-    error = EPSILON * np.sqrt(np.maximum(0, 1 - correction**2) / max(1, dim - 1)) / correction + 1e-5
-    return raw / correction, error
+    """For unit ``queries`` (rows) and codes (columns) the estimated cosines, and the error bound of each code.
+
+    The rotations' estimates are independent, so the error of their mean falls with the root of their number.
+    """
+    dim, n = queries.shape[1], correction.shape[1]
+    signs = np.unpackbits(bits, axis=1, count=dim * n).astype(np.float32) * 2 - 1
+    signs *= np.repeat(1 / (correction * (np.sqrt(dim) * n)), dim, axis=1).astype(np.float32)
+    turned = (queries @ rotations(dim).T).astype(np.float32)
+    spread = (np.maximum(0, 1 - correction**2) / max(1, dim - 1) / correction**2).sum(1)
+    return turned @ signs.T, EPSILON * np.sqrt(spread) / n + 1e-5
 
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -70,12 +80,42 @@ def _usable(vectors: DataFrame) -> DataFrame:
     )
 
 
+class Best:
+    """The ``k`` nearest of each query so far; ``compared`` counts the exact cosines."""
+
+    def __init__(self, n: int, k: int):
+        self.k, self.compared = k, 0
+        self.score = np.full((n, k), -np.inf)
+        self.name = np.full((n, k), np.iinfo(np.int64).max)
+
+    def add(self, q: np.ndarray, v: np.ndarray, names: np.ndarray, vectors: np.ndarray, queries: np.ndarray) -> None:
+        """Takes in the pairs of query ``q`` and vector ``v`` by their exact cosines."""
+        if not len(q):
+            return
+        self.compared += len(q)
+        here = np.unique(q)
+        score = np.concatenate((self.score[here].ravel(), cosines(queries[q], vectors[v])))
+        name = np.concatenate((self.name[here].ravel(), names[v]))
+        row = np.concatenate((np.repeat(here, self.k), q))
+        by = np.lexsort((name, -score, row))
+        take = by[np.searchsorted(row[by], here)[:, None] + np.arange(self.k)]
+        self.score[here], self.name[here] = score[take], name[take]
+
+
 def _search(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
     """The ``k`` nearest of this task's vectors for each query, exactly."""
-    unit = queries / np.sqrt((queries * queries).sum(1))[:, None]
-    top_score = np.full((len(ids), k), -np.inf)
-    top_id = np.full((len(ids), k), np.iinfo(np.int64).max)
+    best = Best(len(ids), k)
     for batch in batches:
+        search_batch(batch, ids, queries, best)
+    q, j = np.nonzero(best.score > -np.inf)
+    columns = [pa.array(ids[q]), pa.array(best.name[q, j]), pa.array(best.score[q, j])]
+    yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+
+
+def search_batch(batch: pa.RecordBatch, ids: np.ndarray, queries: np.ndarray, best: Best) -> None:
+    """Takes the vectors of one batch into ``best``."""
+    unit, k = queries / np.sqrt((queries * queries).sum(1))[:, None], best.k
+    if batch.num_rows:
         names, vectors = batch.column(0).to_numpy(), _matrix(batch.column(1))
         # Of equal vectors only the k + 1 smallest ids can count (one may be the query's own), and k rows of each id.
         order = np.argsort(names, kind="stable")
@@ -91,28 +131,22 @@ def _search(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndar
         repeat = at - np.maximum.accumulate(np.where(new_id, at, 0))
         kept = np.sort(by[(place <= k) & (repeat < k)])
         names, vectors = names[kept], vectors[kept]
-        bits, correction = encode(vectors)
-        for low in range(0, len(ids), CHUNK):
-            part = slice(low, low + CHUNK)
-            guess, error = estimates(bits, correction, unit[part])
-            own = names[None, :] == ids[part, None]
-            guess = np.where(own, -np.inf, guess)
-            lower = guess - error
-            at = max(0, lower.shape[1] - k)
-            floor = np.maximum(np.partition(lower, at, axis=1)[:, at] if lower.shape[1] >= k else -np.inf, top_score[part, -1])
-            q, v = np.nonzero((guess + error >= floor[:, None]) & ~own)
-            exact = cosines(queries[low + q], vectors[v])
-            score = np.concatenate((top_score[part].ravel(), exact))
-            name = np.concatenate((top_id[part].ravel(), names[v]))
-            row = np.concatenate((np.repeat(np.arange(len(guess)), k), q))
-            best = np.lexsort((name, -score, row))
-            ranked = row[best]
-            start = np.searchsorted(ranked, np.arange(len(guess)))
-            take = best[start[:, None] + np.arange(k)]
-            top_score[part], top_id[part] = score[take], name[take]
-    q, j = np.nonzero(top_score > -np.inf)
-    columns = [pa.array(ids[q]), pa.array(top_id[q, j]), pa.array(top_score[q, j])]
-    yield pa.RecordBatch.from_arrays(columns, ["query_id", "vec_id", "score"])
+        for first in range(0, len(names), BATCH):
+            some = slice(first, first + BATCH)
+            bits, correction = encode(vectors[some])
+            for low in range(0, len(ids), CHUNK):
+                part = slice(low, low + CHUNK)
+                guess, error = estimates(bits, correction, unit[part])
+                guess[names[None, some] == ids[part, None]] = -np.inf
+                # The best guesses are computed first, so that their exact cosines set the bar for the others.
+                head = np.argpartition(-guess, min(2 * k, guess.shape[1] - 1), axis=1)[:, : 2 * k]
+                q = np.repeat(np.arange(len(guess)), head.shape[1])
+                known = guess[q, head.ravel()] > -np.inf
+                best.add(low + q[known], first + head.ravel()[known], names, vectors, queries)
+                np.put_along_axis(guess, head, -np.inf, axis=1)
+                q, v = np.nonzero((guess + error >= best.score[part, -1:]) & (guess > -np.inf))
+                for at in range(0, len(q), PAIRS):
+                    best.add(low + q[at : at + PAIRS], first + v[at : at + PAIRS], names, vectors, queries)
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 5) -> DataFrame:
