@@ -34,7 +34,11 @@ REGISTERS = BANDS * ROWS
 MARGIN = 0.22
 #: Nodes of a group that are compared with each other in one step.
 BLOCK = 512
-SLICE_BYTES = 3_000_000
+#: Bytes of their texts, of which a cell holds two blocks.
+BLOCK_BYTES = 4_000_000
+SLICE_BYTES = 1_500_000
+#: Rows signed at once: with the registers this bounds the arrivals that are held, however short the texts are.
+SLICE_ROWS = 1024
 
 _ARRIVAL = np.uint64(0xA0761D6478BD642F)
 _PLACE = np.uint64(0xE7037ED1A0B428DB)
@@ -94,14 +98,14 @@ def signatures(rows: np.ndarray, keys: np.ndarray, weights: np.ndarray, n_rows:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
-        for batch in slices(whole, 2, SLICE_BYTES):
+        for batch in (part.slice(low, SLICE_ROWS) for part in slices(whole, 2, SLICE_BYTES) for low in range(0, part.num_rows, SLICE_ROWS)):
             data, offsets = column_bytes(batch.column(2))
             rows, keys, weights = shingles(data, offsets, WORDS)
             names = signatures(rows, keys, weights, batch.num_rows)
             has = np.zeros(batch.num_rows, bool)
             has[rows] = True
             packed = pa.array([r.tobytes() if h else None for r, h in zip(names, has)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed], ["doc_id", "node", "sig"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), packed, pa.array(np.diff(offsets))], ["doc_id", "node", "sig", "bytes"])
 
 
 def probability_jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -224,7 +228,8 @@ def _between(rest: DataFrame, nodes: DataFrame, texts: DataFrame, threshold: flo
     task holds a group, and only links leave a cell.
     """
     one = _texts_of(rest.select("node"), texts)
-    sizes = rest.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    size = F.greatest(F.count(F.lit(1)) / F.lit(BLOCK), F.sum("bytes") / F.lit(BLOCK_BYTES))
+    sizes = rest.select("first", "node").join(nodes.select("node", "bytes"), "node").groupBy("first").agg(F.ceil(size).cast("int").alias("blocks"))
     placed = rest.join(sizes, "first").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     full = placed.join(nodes.select("node", "sig"), "node").join(one, "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -280,9 +285,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Data
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     texts = docs.select(F.col("doc_id"), F.unhex(F.md5(text.cast("binary"))).alias("node"), F.lower(text).alias("text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    signed = written(texts.mapInArrow(_sign, f"doc_id {id_type}, node binary, sig binary"), "near-signatures")
+    signed = written(texts.mapInArrow(_sign, f"doc_id {id_type}, node binary, sig binary, bytes long"), "near-signatures")
     nodes = written(
-        signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig")),
+        signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"), F.max("bytes").alias("bytes")),
         "near-nodes",
     )
     width = 4 * ROWS
@@ -335,8 +340,10 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of each class, with all columns: that of the smallest doc_id, and of repeated rows any one."""
     members, _ = near_duplicates(docs, threshold)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    wanted = members.where("kept").select(key.alias("__id"), F.col("node").alias("__node")).distinct()
+    wanted = members.where("kept").select(key.alias("id"), "node").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumns({"__id": key, "__node": F.unhex(F.md5(text.cast("binary")))}).join(wanted, ["__id", "__node"])
-    turn = F.row_number().over(Window.partitionBy("__id", "__node").orderBy("__id"))
-    return rows.withColumn("__turn", turn).where("__turn = 1").select(*docs.columns)
+    # All columns ride in one struct, so that none can clash with the names used here.
+    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("node"))
+    turn = F.row_number().over(Window.partitionBy("id", "node").orderBy("id"))
+    first = rows.join(wanted, ["id", "node"]).withColumn("turn", turn).where("turn = 1")
+    return first.select("row.*")

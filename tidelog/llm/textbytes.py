@@ -57,12 +57,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Powers that a worker keeps between slices; longer runs are computed for one slice and dropped.
+_KEPT_POWERS = 2_000_000
+
+
 def _power(kind: str, n: int) -> np.ndarray:
     have = _powers[kind]
     if len(have) < n:
-        steps = np.full(max(n, 2 * len(have)), _BASE if kind == "up" else _BASE_INVERSE, np.uint64)
+        steps = np.full(max(n, min(2 * len(have), _KEPT_POWERS)), _BASE if kind == "up" else _BASE_INVERSE, np.uint64)
         steps[0] = 1
-        have = _powers[kind] = np.multiply.accumulate(steps)
+        have = np.multiply.accumulate(steps)
+        if len(have) <= _KEPT_POWERS:
+            _powers[kind] = have
     return have
 
 

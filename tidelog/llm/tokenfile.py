@@ -28,7 +28,7 @@ from tidelog.session import shared_dir, written
 MAGIC = b"FRV1"
 SLICE_BYTES = 4_000_000
 #: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 2_000_000
+REMEMBERED = 400_000
 #: A block is closed when it holds this many ids; a document is never split.
 BLOCK_IDS = 1_000_000
 
