@@ -316,3 +316,21 @@ def test_contaminated_documents(spark):
         assert decontam.contaminated(documents(spark, rows), benchmark).count() == 5
     finally:
         decontam.BLOCK_BYTES = decontam_bytes
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    names = ["__id", "__node", "__rate", "__lower", "__turn", "__topic", "row", "id", "node", "turn", "rate", "topic", "worded", "probability", "n_tokens", "lower"]
+    draw = random.Random(7)
+    rows = [(i, sentence(draw, 30), "en", f"s{i % 2}", *[f"{n} {i}" for n in names]) for i in range(12)]
+    schema = ", ".join(["doc_id long, text string, lang string, source string", *[f"`{n}` string" for n in names]])
+    docs = spark.createDataFrame([*rows, rows[0]], schema)
+    kept = probminhash.deduplicated(docs)
+    assert kept.columns == docs.columns and sorted(map(tuple, kept.collect())) == rows
+    drawn = raking.mixed_rows(docs, {"source": 1.0}, size=1.0)
+    assert drawn.columns == docs.columns and {tuple(r) for r in drawn.collect()} <= set(rows)
+    scored = toxicity.score(docs, toxicity.fit([], []), "toxic_score")
+    assert scored.columns == [*docs.columns, "toxic_score"] and sorted(tuple(r)[:-1] for r in scored.collect()) == sorted([*rows, rows[0]])
+    again = toxicity.score(scored, toxicity.fit([], []), "toxic_score")
+    assert again.columns == scored.columns
+    items = spark.createDataFrame([(0, rows[3][1])], "item_id long, text string")
+    assert sorted(map(tuple, decontam.decontaminate(kept, items).collect())) == [r for r in rows if r[0] != 3]

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.components import connected
+from tidelog.llm.rows import whole_row
 from tidelog.llm.textbytes import column_bytes, mix, shingles, slices
 from tidelog.session import written
 
@@ -343,7 +344,7 @@ def deduplicated(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     wanted = members.where("kept").select(key.alias("id"), "node").distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     # All columns ride in one struct, so that none can clash with the names used here.
-    rows = docs.select(F.struct(*docs.columns).alias("row"), key.alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("node"))
+    rows = docs.select(whole_row(docs), key.alias("id"), F.unhex(F.md5(text.cast("binary"))).alias("node"))
     turn = F.row_number().over(Window.partitionBy("id", "node").orderBy("id"))
     first = rows.join(wanted, ["id", "node"]).withColumn("turn", turn).where("turn = 1")
     return first.select("row.*")

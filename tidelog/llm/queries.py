@@ -15,7 +15,7 @@ from tidelog.llm.ngramjoin import similar_sets
 from tidelog.llm.onebit import nearest
 from tidelog.llm.pii import BASE_KINDS, personal_data
 from tidelog.llm.probminhash import near_duplicates
-from tidelog.llm.raking import ROUNDS, mix
+from tidelog.llm.raking import MEASUREMENTS, ROUNDS, TOLERANCE, mix
 from tidelog.llm.secretscan import BASE, secrets
 from tidelog.llm.spans import digest_columns
 from tidelog.llm.spelling import variants
@@ -79,12 +79,14 @@ SELECT page_id, host, path, split_part(best, ' ', 2) AS rule, coalesce(split_par
 
 #: Sources and topics are tempered, languages have stated shares.
 MIX = {"source": 0.5, "lang": {"en": 0.5, "de": 0.18, "fr": 0.18, "es": 0.14}, "topic": 0.8}
+#: Tokens that are drawn in expectation, as a part of the present ones.
+MIX_SIZE = 0.5
 
 
 @_query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents drawn to meet the target shares, with their probabilities."""
-    drawn = mix(_table(spark, sf_dir, "documents"), MIX)
+    """The documents drawn to meet the target shares at half the tokens, a row for each copy, with their probabilities."""
+    drawn = mix(_table(spark, sf_dir, "documents"), MIX, size=MIX_SIZE)
     return drawn.withColumn("probability", F.round("probability", 6))
 
 
@@ -108,18 +110,30 @@ def _mix_sql() -> str:
         parts.append(
             f"g_{margin} AS MATERIALIZED (SELECT {margin}, share / (SELECT sum(share) FROM s_{margin}) * (SELECT sum(tokens) FROM c0) AS target FROM s_{margin})"
         )
-    n = 0
-    for _ in range(ROUNDS):
-        for margin in MIX:
-            parts.append(
-                f"""c{n + 1} AS MATERIALIZED (SELECT source, lang, topic, tokens, factor * CASE WHEN now > 0 THEN target / now ELSE 1 END AS factor
-                FROM c{n} JOIN (SELECT {margin}, sum(tokens * factor) AS now FROM c{n} GROUP BY {margin}) USING ({margin}) JOIN g_{margin} USING ({margin}))"""
-            )
-            n += 1
-    return f"""WITH {", ".join(parts)}
-    SELECT doc_id, source, lang, topic, n_tokens, round(factor / (SELECT max(factor) FROM c{n}), 6) AS probability
-    FROM r JOIN c{n} USING (source, lang, topic)
-    WHERE ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE < factor / (SELECT max(factor) FROM c{n})"""
+    goals = ", ".join(f"g_{m}.target AS t_{m}" for m in MIX)
+    step, factor = "w", "factor"
+    for margin in MIX:
+        now = f"sum(tokens * {factor}) OVER (PARTITION BY {margin})"
+        step = f"(SELECT *, {factor} * CASE WHEN {now} > 0 THEN t_{margin} / {now} ELSE 1 END AS f_{margin} FROM {step} WHERE NOT ended)"
+        factor = f"f_{margin}"
+    errors = ", ".join(f"CASE WHEN t_{m} > 0 THEN abs(sum(tokens * {factor}) OVER (PARTITION BY {m}) / t_{m} - 1) ELSE 0 END" for m in MIX)
+    measured = f"(SELECT *, greatest({errors}) AS error FROM {step})"
+    worst = f"(SELECT *, max(error) OVER () AS now_worst, (n + 1) % {ROUNDS} = 0 AS due FROM {measured})"
+    carried = f"source, lang, topic, tokens, {', '.join(f't_{m}' for m in MIX)}"
+    return f"""WITH RECURSIVE {", ".join(parts)},
+    w AS (SELECT 0 AS n, source, lang, topic, tokens, {goals}, factor, 'inf'::DOUBLE AS worst, false AS ended
+      FROM c0 {" ".join(f"JOIN g_{m} USING ({m})" for m in MIX)}
+      UNION ALL SELECT n + 1, {carried}, {factor}, CASE WHEN due THEN now_worst ELSE worst END,
+        due AND (now_worst <= {TOLERANCE} OR now_worst > 0.9 * worst OR n + 1 = {ROUNDS * MEASUREMENTS}) FROM {worst}),
+    raked AS MATERIALIZED (SELECT * FROM w WHERE ended),
+    scale AS (SELECT sum(tokens * factor) / sum(tokens) / {MIX_SIZE}::DOUBLE AS unit FROM raked),
+    rates AS (SELECT source, lang, topic, factor / unit AS rate FROM raked, scale),
+    expected AS (SELECT r.*, CASE WHEN n_tokens > 0 THEN rate ELSE least(rate, 1) END AS copies FROM r JOIN rates USING (source, lang, topic)),
+    drawn AS (SELECT *, list_concat([1.0::DOUBLE FOR i IN range(floor(copies)::BIGINT)],
+      CASE WHEN ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE < copies - floor(copies)
+      THEN [copies - floor(copies)] ELSE [] END) AS chances FROM expected)
+    SELECT doc_id, source, lang, topic, n_tokens, round(probability, 6) AS probability
+    FROM (SELECT doc_id, source, lang, topic, n_tokens, unnest(chances) AS probability FROM drawn)"""
 
 
 ORACLES["op2_mixing"] = _mix_sql()

@@ -15,6 +15,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.rows import whole_row
 from tidelog.session import written
 
 MARGINS = ("source", "lang", "topic")
@@ -49,8 +50,12 @@ def topic_of(text: Column) -> Column:
 def classified(docs: DataFrame) -> DataFrame:
     """``doc_id``, the margins and ``n_tokens`` (words) of every row."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select("doc_id", *_cell_of(text), word_count(text).alias("n_tokens"))
+
+
+def _cell_of(text: Column) -> list[Column]:
     named = [F.coalesce(F.col(c).cast("string"), F.lit(NONE)).alias(c) for c in MARGINS[:2]]
-    return docs.select("doc_id", *named, topic_of(text).alias("topic"), word_count(text).alias("n_tokens"))
+    return [*named, topic_of(text).alias("topic")]
 
 
 def targets(cells: DataFrame, margin: str, target: Target) -> DataFrame:
@@ -89,14 +94,16 @@ def rake(cells: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS) -
     """
     goals = {m: written(targets(cells, m, t), "rake-goals") for m, t in wanted.items()}
     cells = cells.withColumn("factor", F.lit(1.0))
+    for margin, goal in goals.items():
+        cells = cells.join(goal.withColumnRenamed("target", f"{margin}_target"), margin)
     before = float("inf")
     for measurement in range(MEASUREMENTS):
         for _ in range(rounds):
-            for margin, goal in goals.items():
-                now = cells.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("factor")).alias("now")).join(goal, margin)
-                step = now.select(margin, F.when(F.col("now") > 0, F.col("target") / F.col("now")).otherwise(F.lit(1.0)).alias("step"))
-                cells = cells.join(step, margin).withColumn("factor", F.col("factor") * F.col("step")).drop("step")
-            cells = written(cells.select(*MARGINS, "tokens", "factor"), "rake-cells")
+            for margin in goals:
+                now = cells.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("factor")).alias("now"))
+                step = F.when(F.col("now") > 0, F.col(f"{margin}_target") / F.col("now")).otherwise(F.lit(1.0))
+                cells = cells.join(now, margin).withColumn("factor", F.col("factor") * step).drop("now")
+            cells = written(cells, "rake-cells")
         worst = margin_errors(cells, goals).where(F.col("error") > TOLERANCE).orderBy(F.desc("error")).limit(10).collect()
         if not worst or worst[0].error > 0.9 * before:
             break
@@ -104,7 +111,7 @@ def rake(cells: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS) -
     if worst:
         named = ", ".join(f"{r.margin}={r.value} off by {r.error:.2%}" for r in worst)
         warnings.warn(f"margins not met after {(measurement + 1) * rounds} rounds of raking: {named}", stacklevel=2)
-    return cells
+    return cells.select(*MARGINS, "tokens", "factor")
 
 
 def chance(doc_id: Column) -> Column:
@@ -122,14 +129,14 @@ def _rates(rows: DataFrame, wanted: Mapping[str, Target], rounds: int, size: flo
     return raked.select(*MARGINS, (F.col("factor") / F.lit(unit)).alias("rate"))
 
 
-def _copies(rows: DataFrame, doc_id: str, rate: str, worded: Column, out: str) -> DataFrame:
-    """Each row once for every copy of it that is drawn; ``out`` is the chance with which that copy is drawn."""
-    expected = F.when(worded, F.col(rate)).otherwise(F.least(F.col(rate), F.lit(1.0)))
+def _copies(rows: DataFrame, doc_id: str) -> DataFrame:
+    """Each row (with ``rate`` and ``worded``) once for every copy of it that is drawn; ``probability`` is that copy's chance."""
+    expected = F.when(F.col("worded"), F.col("rate")).otherwise(F.least(F.col("rate"), F.lit(1.0)))
     whole = F.floor(expected)
     rest = expected - whole
     sure = F.array_repeat(F.lit(1.0), whole.cast("int"))
     drawn = F.when(chance(F.col(doc_id)) < rest, F.concat(sure, F.array(rest))).otherwise(sure)
-    return rows.withColumn(out, F.explode(drawn))
+    return rows.withColumn("probability", F.explode(drawn))
 
 
 def mix(docs: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS, size: float | None = None) -> DataFrame:
@@ -147,22 +154,14 @@ def mix(docs: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS, siz
     """
     rows = written(classified(docs), "rake-rows")
     rates = _rates(rows, wanted, rounds, size)
-    drawn = _copies(rows.join(rates, list(MARGINS)), "doc_id", "rate", F.col("n_tokens") > 0, "probability")
+    placed = rows.join(rates, list(MARGINS)).withColumn("worded", F.col("n_tokens") > 0)
+    drawn = _copies(placed, "doc_id")
     return drawn.select("doc_id", *MARGINS, "n_tokens", "probability")
 
 
 def mixed_rows(docs: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS, size: float | None = None) -> DataFrame:
-    """The rows that :func:`mix` draws, with the columns of ``docs``: its rates meet the rows by their cell."""
+    """The rows that :func:`mix` draws, with the columns of ``docs``, whatever their names: its rates meet the rows by their cell."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rates = _rates(classified(docs), wanted, rounds, size).select(
-        *[F.col(m).alias(f"__{m}") for m in MARGINS], F.col("rate").alias("__rate")
-    )
-    placed = docs.withColumns(
-        {
-            "__source": F.coalesce(F.col("source").cast("string"), F.lit(NONE)),
-            "__lang": F.coalesce(F.col("lang").cast("string"), F.lit(NONE)),
-            "__topic": topic_of(text),
-        }
-    )
-    joined = placed.join(rates, [f"__{m}" for m in MARGINS])
-    return _copies(joined, "doc_id", "__rate", text.rlike(r"[^ \t\n\r]"), "__p").select(*docs.columns)
+    rates = _rates(classified(docs), wanted, rounds, size)
+    placed = docs.select(whole_row(docs), *_cell_of(text), text.rlike(r"[^ \t\n\r]").alias("worded"))
+    return _copies(placed.join(rates, list(MARGINS)), "row.doc_id").select("row.*")

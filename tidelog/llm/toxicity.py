@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.rows import free_name
 from tidelog.llm.textbytes import column_bytes, mix, slices, span_hashes, word_spans
 
 #: Labelled texts of each class used for fitting, at most, and their longest size in characters.
@@ -373,11 +374,13 @@ def score(docs: DataFrame, net: Network, name: str = "toxic_score") -> DataFrame
     """``docs`` with the score in [0, 1] of every row in the column ``name``; all other columns stay.
 
     A null or empty text, or one without words, is one empty window and gets the network's
-    score of that. Texts are scored whole; repeated rows and null ids are scored like others.
+    score of that. Texts are scored whole; repeated rows and null ids are scored like others. A column
+    ``name`` that is there already is replaced, other names do not matter.
     """
-    rows = docs.drop(name).withColumn("__lower", F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    fields = [f for f in rows.schema.fields if f.name != "__lower"]
-    schema = rows.select(*[f.name for f in fields]).withColumn(name, F.lit(0.0)).schema
+    others = docs.drop(name)
+    fields = others.schema.fields
+    schema = others.withColumn(name, F.lit(0.0)).schema
+    rows = others.withColumn(free_name(others, "lower"), F.lower(F.coalesce(F.col("text").cast("string"), F.lit(""))))
     last = len(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
