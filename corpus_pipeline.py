@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.llm.decontam import decontaminate
 from tidelog.llm.probminhash import deduplicated
 from tidelog.llm.queries import MIX
 from tidelog.llm.raking import mixed_rows
+from tidelog.llm.rows import free_name
 from tidelog.llm.tokenfile import read_blocks, token_files
 from tidelog.llm.toxicity import score, trained
 from tidelog.session import written
@@ -24,7 +26,8 @@ SIZE = 1.0
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the network, fitted on the labelled ones, rejects go."""
     net = trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return score(docs, net, "__toxic_score").where("__toxic_score < 0.5").select(*docs.columns)
+    name = free_name(docs, "toxic_score")
+    return score(docs, net, name).where(F.col(name) < 0.5).drop(name)
 
 
 def without_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
