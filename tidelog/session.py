@@ -50,8 +50,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared folder: what is read more than once is computed once.
 
-    The table outlives the executors that wrote it, and its lineage is a file scan.
+    The table outlives the executors that wrote it, and its lineage is a file scan. It is read with the
+    schema it was written with, so no job looks for one in the files.
     """
     path = shared_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
