@@ -227,13 +227,21 @@ def test_transfer_files_and_listing(spark, tmp_path):
         [("u", "up.txt", 1), ("d", "down.txt", 0), ("x", "old.txt", 2), ("m", "missing.txt", 0), ("s", "kept.txt", 3)],
         "id STRING, filename STRING, state INT",
     )
-    rows = {r["id"]: r for r in transfer_files(transfer_plan(queue, str(local), str(remote)), 3).collect()}
+    moved = transfer_files(plan := transfer_plan(queue, str(local), str(remote)), log := str(tmp_path / "log"), tasks=3)
+    rows = {r["id"]: r for r in moved.collect()}
     assert {i: r["ok"] for i, r in rows.items()} == {"u": True, "d": True, "x": True, "m": False}
     assert rows["u"]["size"] == 9 and "FileNotFoundError" in rows["m"]["error"]
     assert sorted(os.listdir(remote)) == ["down.txt", "up.txt"]
     assert (local / "down.txt").read_text() == "download me"
     assert list_files(spark, str(local)).count() == 2
     assert {r[0] for r in local_files(spark, str(local)).collect()} == {"attachments/up.txt", "attachments/down.txt"}
+    # Another action and another call with the log move nothing that is done, and try what failed again.
+    (remote / "up.txt").unlink()
+    (remote / "missing.txt").write_text("late")
+    assert moved.count() == 4 and not (remote / "up.txt").exists()
+    again = {r["id"]: (r["ok"], r["size"]) for r in transfer_files(plan, log, tasks=3).collect()}
+    assert again == {"u": (True, 9), "d": (True, 11), "x": (True, 0), "m": (True, 4)}
+    assert not (remote / "up.txt").exists() and (local / "missing.txt").read_text() == "late"
 
 
 EPOCH = 1_700_000_000_000

@@ -7,12 +7,13 @@ import re
 from pyspark.sql import functions as F
 
 from tidelog.operators import capture, feed, queue, relational
+from tidelog.operators.attachments import QUEUED_DELETE, QUEUED_DOWNLOAD, QUEUED_UPLOAD
 from tidelog.plans.feed import CUT, DECLARED, FOLD
 from tidelog.plans.fixtures import Fixtures
 from tidelog.plans.queue import CAPTURED, PAIRS, RUNS, entry_texts
 from tidelog.plans.registry import query
 from tidelog.schema import Options, PreviousValues
-from tidelog.session import shared_dir
+from tidelog.session import shared_dir, written
 from tidelog.sources import files, lines
 from tidelog.sources.state import StateStore, declared_table_rows, publish_rows
 from tidelog.sources.upload import UploadQueue
@@ -176,13 +177,29 @@ def watch_query(fx: Fixtures):
 
 @query(
     "transfer_files",
-    """SELECT CAST(page_id AS VARCHAR) AS id, true AS ok, CAST(octet_length(encode(html)) AS BIGINT) AS size FROM {pages} WHERE page_id % 5 = 1""",
+    """SELECT CAST(page_id AS VARCHAR) AS id, CASE page_id % 5 WHEN 0 THEN 'download' WHEN 1 THEN 'upload' ELSE 'delete' END AS direction, true AS ok,
+              CASE WHEN page_id % 5 = 2 THEN 0 ELSE CAST(octet_length(encode(html)) AS BIGINT) END AS size,
+              page_id % 5 <> 2 AS in_local, page_id % 5 <> 2 AS in_remote
+       FROM {pages} WHERE page_id % 5 IN (0, 1, 2)""",
 )
 def transfer_files(fx: Fixtures):
-    """Every page saved as a file; those whose attachment waits for upload are copied."""
+    """Every page saved where its attachment starts from; those queued for download, upload or delete are moved.
+
+    ``in_local`` and ``in_remote`` tell where the file is found afterwards.
+    """
     root = shared_dir(fx.spark, "transfer")
-    pages = fx.pages.select(F.col("page_id").cast("string").alias("id"), "html")
-    saved = files.save_files(pages, "html", f"{root}/local", ".html").where("ok").select("id")
-    queued = fx.fx_attachments.where(F.col("state") == 1).join(saved, "id", "left_semi")
-    plan = files.transfer_plan(queued, f"{root}/local", f"{root}/remote")
-    return files.transfer_files(plan).select("id", "ok", "size")
+    state = F.col("state")
+    direction = F.when(state == QUEUED_DOWNLOAD, "download").when(state == QUEUED_UPLOAD, "upload").when(state == QUEUED_DELETE, "delete")
+    queued = fx.fx_attachments.withColumn("direction", direction).where("direction IS NOT NULL")
+    pages = fx.pages.select(F.col("page_id").cast("string").alias("id"), "html").join(queued.select("id", "direction"), "id")
+    saved = []
+    for side, absent in (("local", "download"), ("remote", "upload")):
+        rows = files.save_files(pages.where(F.col("direction") != absent), "html", f"{root}/{side}", ".html")
+        saved.append(written(rows.where("ok").select("id"), f"saved-{side}"))
+    there = saved[0].union(saved[1]).distinct()
+    plan = files.transfer_plan(queued.join(there, "id", "left_semi"), f"{root}/local", f"{root}/remote")
+    moved = files.transfer_files(plan, f"{root}/log").select("id", "ok", "size").join(queued.select("id", "direction"), "id")
+    for side in ("local", "remote"):
+        found = files.list_files(fx.spark, f"{root}/{side}").select(F.regexp_extract("path", r"([^/]+)\.html$", 1).alias("id"), F.lit(True).alias(f"in_{side}"))
+        moved = moved.join(found, "id", "left").withColumn(f"in_{side}", F.coalesce(f"in_{side}", F.lit(False)))
+    return moved

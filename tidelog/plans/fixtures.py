@@ -46,6 +46,10 @@ SELECT event_id AS id,
        CASE WHEN event_type = 'error' THEN NULL ELSE props END AS data,
        CASE WHEN event_id % 211 = 0 THEN '23505' WHEN event_id % 307 = 0 THEN '08006' ELSE NULL END AS error_code
 FROM {events} WHERE event_id % 97 <> 13""",
+    "fx_payloads": """
+SELECT id, CASE WHEN data IS NOT NULL THEN concat(substr(data, 1, length(data) - 1), ', "t": "', row_id, '", "b": ',
+         CASE WHEN id % 2 = 0 THEN 'true' ELSE 'false' END, ', "r": ', cast(id AS string), '.5, "z": null, "a": [', cast(id AS string), ', "x"]', chr(125)) END AS payload
+FROM {fx_crud}""",
     "fx_before": """
 SELECT cast(o_orderkey AS string) AS id, o_orderstatus AS status, o_totalprice AS price, o_orderpriority AS priority
 FROM {orders}""",

@@ -286,12 +286,18 @@ def fatal_error_code(fx: Fixtures):
 
 @query(
     "typed_json_value",
-    """SELECT id, CASE WHEN data IS NOT NULL THEN 'whole' END AS kind, CAST(json_extract_string(data, '$.k') AS BIGINT) AS whole
-       FROM {fx_crud}""",
+    """WITH members AS (SELECT id, name, json_extract_string(payload, '$.' || name) AS v,
+            CASE json_type(payload, '$.' || name) WHEN 'NULL' THEN 'null' WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'flag'
+              WHEN 'DOUBLE' THEN 'real' WHEN 'ARRAY' THEN 'nested' ELSE 'whole' END AS kind
+          FROM (SELECT id, payload, unnest(json_keys(payload)) AS name FROM {fx_payloads}) p)
+       SELECT id, name, kind, CASE WHEN kind IN ('text', 'nested') THEN v END AS text, CASE WHEN kind = 'flag' THEN CAST(v AS BOOLEAN) END AS flag,
+              CASE WHEN kind = 'real' THEN CAST(v AS DOUBLE) END AS real, CASE WHEN kind = 'whole' THEN CAST(v AS BIGINT) END AS whole
+       FROM members""",
 )
 def typed_json_value(fx: Fixtures):
-    value = typed_value(typed_payload(F.col("data")).getItem("k"))
-    return fx.fx_crud.select("id", value.alias("v")).select("id", "v.kind", "v.whole")
+    """Every member of every payload: texts that look like numbers, flags, reals, nulls, arrays and whole numbers."""
+    members = fx.fx_payloads.select("id", F.explode(typed_payload(F.col("payload"))).alias("name", "value"))
+    return members.select("id", "name", typed_value(F.col("value")).alias("v")).select("id", "name", "v.*")
 
 
 @query(

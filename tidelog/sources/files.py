@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.operators.attachments import QUEUED_DELETE, QUEUED_DOWNLOAD, QUEUED_UPLOAD
+from tidelog.session import shared_dir
+from tidelog.sources.state import child_names
 
 COPY_CHUNK = 8 * 1024 * 1024
 OUTCOME_SCHEMA = "id STRING, ok BOOLEAN, size BIGINT, error STRING"
+LOG_SCHEMA = f"{OUTCOME_SCHEMA}, attempt INT"
 
 
 def list_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -87,14 +90,27 @@ def _transfer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(results, columns=["id", "ok", "size", "error"]).astype({"size": "Int64"})
 
 
-def transfer_files(plan: DataFrame, tasks: int | None = None) -> DataFrame:
-    """Runs a transfer plan and returns ``(id, ok, size, error)`` per row.
+def transfer_files(plan: DataFrame, log: str | None = None, tasks: int | None = None) -> DataFrame:
+    """Runs a transfer plan once and returns ``(id, ok, size, error)`` per row, read from the outcome log.
 
     Rows are dealt out evenly over tasks and each file is streamed in chunks, so neither
-    many files nor a large one gathers in memory. A repeated attempt writes the same files.
+    many files nor a large one gathers in memory. The files are moved when this is called: a task's outcomes are
+    committed with the task, so a lost task is repeated alone (it writes the same files), and reading the result
+    again moves nothing. With ``log``, a folder of one round of the queue, a call after a lost driver leaves out
+    what the log holds as done; a failed row is tried again, and its newest outcome counts.
     """
-    width = tasks or int(plan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return plan.repartition(width, "id").mapInPandas(_transfer, OUTCOME_SCHEMA)
+    spark = plan.sparkSession
+    width = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = log or shared_dir(spark, "transfers")
+    attempts = [int(name.split("=")[1]) for name in child_names(spark, path) if name.startswith("attempt=")]
+    rest = plan
+    if attempts:
+        rest = plan.join(spark.read.schema(LOG_SCHEMA).parquet(path).where("ok").select("id"), "id", "left_anti").select(*plan.columns)
+    attempt = max(attempts, default=-1) + 1
+    rest.repartition(width, "id").mapInPandas(_transfer, OUTCOME_SCHEMA).write.parquet(f"{path}/attempt={attempt}")
+    outcomes = spark.read.schema(LOG_SCHEMA).parquet(path)
+    newest = F.max_by(F.struct("ok", "size", "error"), "attempt").alias("last")
+    return outcomes.groupBy("id").agg(newest).select("id", "last.*")
 
 
 def save_files(rows: DataFrame, content: str, directory: str, suffix: str = "") -> DataFrame:
