@@ -210,7 +210,7 @@ def anti_removed(fx: Fixtures):
 
 
 # A feed of checkpoint lines: every 50th event is a full checkpoint of three buckets, every
-# 10th other event a diff of one bucket, which it removes when the user id is a multiple of 3.
+# other event a diff of one bucket, which it removes when the user id is a multiple of 3.
 HISTORY_ENTRIES = """
   SELECT event_id AS seq, concat('h', CAST((user_id + d) % 7 AS VARCHAR)) AS bucket, CAST(user_id % 4 AS INTEGER) AS priority,
          event_id + d AS target_count, user_id AS checksum, false AS removed, true AS full_line
@@ -218,28 +218,27 @@ HISTORY_ENTRIES = """
   UNION ALL
   SELECT event_id, concat('h', CAST(user_id % 7 AS VARCHAR)), CAST(user_id % 4 AS INTEGER), event_id, user_id,
          user_id % 3 = 0, false
-  FROM {events} WHERE event_id % 10 = 0 AND event_id % 50 <> 0
+  FROM {events} WHERE event_id % 50 <> 0
 """
 
 
 @query(
     "checkpoint_history",
     "WITH entries AS (" + HISTORY_ENTRIES + """),
-     lines AS (SELECT seq, row_number() OVER (ORDER BY seq) - 1 AS line_no, max(seq) FILTER (full_line) OVER (ORDER BY seq) AS last_full
+     lines AS (SELECT seq, full_line, row_number() OVER (ORDER BY seq) - 1 AS line_no, count(*) OVER () AS n_lines
                FROM (SELECT DISTINCT seq, full_line FROM entries)),
-     buckets AS (SELECT DISTINCT bucket FROM entries),
-     latest AS (SELECT l.seq, l.line_no, b.bucket,
-                  (SELECT max(e.seq) FROM entries e WHERE e.bucket = b.bucket AND e.seq <= l.seq AND e.seq >= l.last_full) AS entry_seq
-                FROM lines l, buckets b)
-     SELECT l.seq, l.line_no, l.bucket, e.priority, e.target_count, e.checksum
-     FROM latest l JOIN entries e ON e.seq = l.entry_seq AND e.bucket = l.bucket WHERE NOT e.removed""",
+     ahead AS (SELECT seq, line_no, n_lines, min(CASE WHEN full_line THEN line_no END)
+                 OVER (ORDER BY seq ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS next_full FROM lines),
+     placed AS (SELECT e.*, line_no, least(coalesce(lead(line_no) OVER (PARTITION BY bucket ORDER BY e.seq), n_lines), coalesce(next_full, n_lines)) AS to_line
+                FROM entries e JOIN ahead a ON a.seq = e.seq)
+     SELECT seq, line_no AS from_line, to_line, bucket, priority, target_count, checksum FROM placed WHERE NOT removed""",
 )
 def checkpoint_history(fx: Fixtures):
-    full, diffs = _checkpoint_lines(fx)
-    return history.checkpoint_history(full, diffs)
+    """Every event is a checkpoint line; each entry with the lines it is in force."""
+    return history.checkpoint_intervals(*_checkpoint_lines(fx, 1))
 
 
-def _checkpoint_lines(fx: Fixtures):
+def _checkpoint_lines(fx: Fixtures, every: int):
     def columns(offset):
         return [
             F.col("event_id").alias("seq"),
@@ -251,7 +250,7 @@ def _checkpoint_lines(fx: Fixtures):
 
     number = F.col("event_id")
     full = fx.events.where(number % 50 == 0).withColumn("d", F.explode(F.sequence(F.lit(0), F.lit(2))))
-    diffs = fx.events.where((number % 10 == 0) & (number % 50 != 0))
+    diffs = fx.events.where((number % every == 0) & (number % 50 != 0))
     return full.select(*columns(F.col("d"))), diffs.select(*columns(F.lit(0)), (F.col("user_id") % 3 == 0).alias("removed"))
 
 
@@ -262,7 +261,7 @@ def feed_timeline(fx: Fixtures):
     Whether a bucket starts over depends on all its lines before, so there is no plain SQL; the
     operator is compared with a line-by-line replay on small feeds.
     """
-    full, diffs = _checkpoint_lines(fx)
+    full, diffs = _checkpoint_lines(fx, 10)
     targets = full.withColumns({"removed": F.lit(False), "full": F.lit(True)}).unionByName(
         diffs.withColumn("full", F.lit(False))
     )
