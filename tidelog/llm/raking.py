@@ -103,7 +103,6 @@ def rake(cells: DataFrame, wanted: Mapping[str, Target], rounds: int = ROUNDS) -
                 now = cells.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("factor")).alias("now"))
                 step = F.when(F.col("now") > 0, F.col(f"{margin}_target") / F.col("now")).otherwise(F.lit(1.0))
                 cells = cells.join(now, margin).withColumn("factor", F.col("factor") * step).drop("now")
-            # One round a plan: it is the same every time, so the driver compiles it once and describes it shortly.
             cells = written(cells, "rake-cells")
         worst = margin_errors(cells, goals).where(F.col("error") > TOLERANCE).orderBy(F.desc("error")).limit(10).collect()
         if not worst or worst[0].error > 0.9 * before:
