@@ -92,8 +92,22 @@ def test_registered_views_and_insert_only(spark):
 
 def test_raw_put_rest_keeps_other_members(spark):
     table = RawTable("lists", put={"id": ID, "name": from_column("name"), "_rest": REST})
-    rows = spark.createDataFrame([("1", '{"name":"n","additional_column":"foo"}')], "id STRING, data STRING")
-    assert tuple(tables.raw_table_put(rows, table).first()) == ("1", "n", '{"additional_column":"foo"}')
+    rows = spark.createDataFrame([("1", '{"name":"n","shelf":"upper"}')], "id STRING, data STRING")
+    assert tuple(tables.raw_table_put(rows, table).first()) == ("1", "n", '{"shelf":"upper"}')
+
+
+def test_raw_delete_and_clear(spark):
+    existing = spark.createDataFrame([("1", 7, "a"), ("2", 8, "b"), ("3", None, "c")], "id STRING, owner INT, note STRING")
+    removed = spark.createDataFrame([("2", '{"owner":7}'), ("9", "{}")], "id STRING, data STRING")
+    left = lambda table: [r["id"] for r in tables.raw_table_delete(existing, removed, table).orderBy("id").collect()]
+    put = {"id": ID}
+    assert left(RawTable("t", put=put)) == ["1", "3"]
+    assert left(RawTable("t", put=put, delete={"owner": from_column("owner")})) == ["2", "3"]
+    kept = lambda clear: [r["id"] for r in tables.raw_table_clear(existing, RawTable("t", put=put, clear=clear)).orderBy("id").collect()]
+    assert kept("owner < 8") == ["2", "3"]
+    assert kept(None) == ["1", "2", "3"]
+    with pytest.raises(SchemaError):
+        RawTable("t", put=put, delete={"x": REST}).check()
 
 
 def test_inferred_raw_table_deletes_and_keeps_local_columns(spark):

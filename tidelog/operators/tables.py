@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.json import json_columns, json_rest
 from tidelog.functions.scalars import internal_table_name
-from tidelog.schema import RawTable, Schema, Table
+from tidelog.schema import ID, RawTable, Schema, Table
 
 
 def json_table_view(rows: DataFrame, table: Table) -> DataFrame:
@@ -66,6 +66,25 @@ def raw_table_put(rows: DataFrame, table: RawTable) -> DataFrame:
     return rows.select(*[fill(p).alias(name) for name, p in table.put.items()])
 
 
+def raw_table_delete(existing: DataFrame, removed: DataFrame, table: RawTable) -> DataFrame:
+    """The rows of a raw table that stay when the ``(id, data)`` rows of ``removed`` are deleted.
+
+    Columns of the delete mapping are compared as the table's types, NULL matching nothing. ``removed``
+    needs ``data``, the last payload, only where the mapping names a column.
+    """
+    types = {f.name: f.dataType for f in existing.schema.fields}
+    keys = {name: F.col("id") if p.kind == "id" else F.get_json_object("data", f"$['{p.column}']") for name, p in (table.delete or {"id": ID}).items()}
+    gone = removed.select(*[value.try_cast(types[name]).alias(name) for name, value in keys.items()])
+    return existing.join(gone, list(keys), "left_anti")
+
+
+def raw_table_clear(existing: DataFrame, table: RawTable) -> DataFrame:
+    """The rows of a raw table that stay after a disconnect-and-clear."""
+    if table.clear is None:
+        return existing
+    return existing.where(~F.coalesce(F.expr(table.clear), F.lit(False)))
+
+
 def raw_table_infer(existing: DataFrame, rows: DataFrame, table: RawTable) -> DataFrame:
     """A raw table after a sync whose mapping is inferred from the synced columns.
 

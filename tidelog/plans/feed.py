@@ -131,14 +131,43 @@ def raw_table_put(fx: Fixtures):
         FROM current LEFT JOIN {{customer}} ON CAST(c_custkey AS VARCHAR) = row_id WHERE row_type = 'lists'""",
 )
 def raw_table_infer(fx: Fixtures):
-    existing = fx.customer.select(
+    existing = _raw_lists(fx)
+    rows = feed.checkpoint_rows(fx.fx_oplog, fx.fx_checkpoint).where(F.col("row_type") == "lists")
+    raw = RawTable("lists", schema=RawSchema(synced_columns=("k",)))
+    return tables.raw_table_infer(existing, rows.select(F.col("row_id").alias("id"), "data"), raw)
+
+
+def _raw_lists(fx: Fixtures):
+    return fx.customer.select(
         F.col("c_custkey").cast("string").alias("id"),
         F.col("c_nationkey").cast("bigint").alias("k"),
         F.col("c_mktsegment").alias("local_note"),
     )
-    rows = feed.checkpoint_rows(fx.fx_oplog, fx.fx_checkpoint).where(F.col("row_type") == "lists")
-    raw = RawTable("lists", schema=RawSchema(synced_columns=("k",)))
-    return tables.raw_table_infer(existing, rows.select(F.col("row_id").alias("id"), "data"), raw)
+
+
+@query(
+    "raw_table_delete",
+    "WITH visible AS (SELECT * FROM {fx_oplog}), " + FOLD + """
+       SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_nationkey AS BIGINT) AS k, c_mktsegment AS local_note FROM {customer}
+       WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT row_id FROM {fx_oplog} WHERE row_type = 'lists' AND op IN ('PUT', 'REMOVE')
+                                                EXCEPT SELECT row_id FROM current WHERE row_type = 'lists')""",
+)
+def raw_table_delete(fx: Fixtures):
+    """Rows of the log that no bucket holds any more leave the raw table."""
+    lists = F.col("row_type") == "lists"
+    known = fx.fx_oplog.where(lists & F.col("op").isin("PUT", "REMOVE")).select("row_type", "row_id").distinct()
+    removed = known.join(feed.apply_oplog(fx.fx_oplog).where(lists), ["row_type", "row_id"], "left_anti")
+    raw = RawTable("lists", schema=RawSchema(), delete={"id": ID})
+    return tables.raw_table_delete(_raw_lists(fx), removed.select(F.col("row_id").alias("id")), raw)
+
+
+@query(
+    "raw_table_clear",
+    """SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_nationkey AS BIGINT) AS k, c_mktsegment AS local_note
+       FROM {customer} WHERE NOT coalesce(c_nationkey < 10, false)""",
+)
+def raw_table_clear(fx: Fixtures):
+    return tables.raw_table_clear(_raw_lists(fx), RawTable("lists", schema=RawSchema(), clear="k < 10"))
 
 
 @query("apply_oplog", "WITH visible AS (SELECT * FROM {fx_oplog}), " + FOLD + "SELECT * FROM current")
