@@ -110,6 +110,16 @@ def test_raw_delete_and_clear(spark):
         RawTable("t", put=put, delete={"x": REST}).check()
 
 
+def test_put_beside_a_schema_decides_what_is_synced(spark):
+    existing = spark.createDataFrame([("1", 5, "mine"), ("2", 6, "x")], "id STRING, pages INT, local STRING")
+    rows = spark.createDataFrame([("1", '{"length":"9","local":"theirs"}')], "id STRING, data STRING")
+    table = RawTable("t", put={"id": ID, "pages": from_column("length")}, schema=RawSchema())
+    table.check()
+    assert [tuple(r) for r in tables.raw_table_infer(existing, rows, table).collect()] == [("1", 9, "mine")]
+    with pytest.raises(SchemaError):
+        RawTable("t").check()
+
+
 def test_inferred_raw_table_deletes_and_keeps_local_columns(spark):
     existing = spark.createDataFrame([("1", "old", "mine"), ("2", "gone", "x")], "id STRING, name STRING, local STRING")
     rows = spark.createDataFrame([("1", '{"name":"new"}'), ("3", '{"name":"add"}')], "id STRING, data STRING")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.json import json_columns, json_rest
 from tidelog.functions.scalars import internal_table_name
+from tidelog.operators.writes import delete_where
 from tidelog.schema import ID, RawTable, Schema, Table
 
 
@@ -28,16 +29,6 @@ def register_views(rows: DataFrame, schema: Schema) -> None:
         (view.limit(0) if table.options.insert_only else view).createOrReplaceTempView(table.view_name)
 
 
-def readable_rows(rows: DataFrame) -> DataFrame:
-    """Rows a read returns; ``mode`` is synced, local or insert. Insert-only tables read as empty."""
-    return rows.where(F.col("mode") != "insert")
-
-
-def queued_changes(changes: DataFrame) -> DataFrame:
-    """Changes that reach the upload queue: those of local-only tables do not."""
-    return changes.where(F.col("mode") != "local")
-
-
 def table_modes(rows: DataFrame) -> DataFrame:
     """Per row whether a read returns it, whether a change of it is queued, and where it is stored."""
     return rows.withColumns(
@@ -80,20 +71,21 @@ def raw_table_delete(existing: DataFrame, removed: DataFrame, table: RawTable) -
 
 def raw_table_clear(existing: DataFrame, table: RawTable) -> DataFrame:
     """The rows of a raw table that stay after a disconnect-and-clear."""
-    if table.clear is None:
-        return existing
-    return existing.where(~F.coalesce(F.expr(table.clear), F.lit(False)))
+    return existing if table.clear is None else delete_where(existing, F.expr(table.clear))
 
 
 def raw_table_infer(existing: DataFrame, rows: DataFrame, table: RawTable) -> DataFrame:
     """A raw table after a sync whose mapping is inferred from the synced columns.
 
-    Rows missing from ``rows`` are deleted; columns that are not synced keep their values.
+    Rows missing from ``rows`` are deleted; columns that are not synced keep their values. With a put
+    mapping, which must fill ``id``, its columns are the synced ones and it says what they get.
     """
-    synced = table.schema.synced_columns or tuple(c for c in existing.columns if c != "id")
-    local = [c for c in existing.columns if c != "id" and c not in synced]
     types = {f.name: f.dataType for f in existing.schema.fields}
-    incoming = rows.select(
-        "id", *[F.get_json_object("data", f"$['{c}']").try_cast(types[c]).alias(c) for c in synced]
-    )
+    if table.put is not None:
+        synced = [c for c in table.put if c != "id"]
+        incoming = raw_table_put(rows, table).select("id", *[F.col(c).try_cast(types[c]).alias(c) for c in synced])
+    else:
+        synced = table.schema.synced_columns or tuple(c for c in existing.columns if c != "id")
+        incoming = rows.select("id", *[F.get_json_object("data", f"$['{c}']").try_cast(types[c]).alias(c) for c in synced])
+    local = [c for c in existing.columns if c != "id" and c not in synced]
     return incoming.join(existing.select("id", *local), "id", "left").select(*existing.columns)

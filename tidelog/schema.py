@@ -161,7 +161,7 @@ def from_column(name: str) -> Parameter:
 
 @dataclass(frozen=True)
 class RawTable:
-    """A user-made table. ``put`` maps its columns to parameters; or ``schema`` infers them.
+    """A user-made table. ``put`` maps its columns to parameters, or ``schema`` infers them; with both, ``put`` counts.
 
     ``delete`` maps the columns that find a removed row, ``id`` unless stated. ``clear`` is the
     condition of the rows that a disconnect-and-clear removes; without it the table is left alone.
@@ -174,8 +174,8 @@ class RawTable:
     clear: str | None = None
 
     def check(self) -> None:
-        if (self.put is None) == (self.schema is None):
-            raise SchemaError(f"Raw table {self.name} needs either a put mapping or a schema")
+        if self.put is None and self.schema is None:
+            raise SchemaError(f"Raw table {self.name} needs a put mapping or a schema")
         if self.delete is not None and (not self.delete or REST in self.delete.values()):
             raise SchemaError(f"Raw table {self.name} deletes by id or columns")
         if self.schema is not None:
