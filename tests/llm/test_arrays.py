@@ -15,6 +15,7 @@ from tidelog.llm.onebit import Best, cosines, encode, estimates, search_batch
 from tidelog.llm.probminhash import probability_jaccard, signatures
 from tidelog.llm.secretscan import ADDED, BASE, compiled, find
 from tidelog.llm.textbytes import column_bytes, shingles, word_spans
+from tidelog.llm import textbytes, tokenfile
 from tidelog.llm.tokenfile import PieceEncoder, pack, unpack
 from tidelog.llm.toxicity import Network, fit, read_words, windows
 
@@ -124,6 +125,29 @@ def test_pieces_give_the_ids_of_whole_texts():
         assert got == [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_pieces_that_come_again_are_remembered_beyond_the_bound(monkeypatch):
+    monkeypatch.setattr(tokenfile, "REMEMBERED", 20)
+    encoder, asked = PieceEncoder(public_tokenizers.path("word_bpe_49k.json")), []
+    encode = encoder._encode_pieces
+    encoder._encode_pieces = lambda pieces: asked.extend(str(p) for p in pieces) or encode(pieces)
+    common = ["alpha", "beta", "gammadelta"]
+    for k in range(30):
+        text = " ".join(common + [f"{'abcdefghij'[k % 10]}{'qrstuvwxyz'[k // 10]}{'klmnop'[i]}" for i in range(6)])
+        ids, _ = encoder.encode(*column_bytes(pa.array([text])))
+        assert ids.tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(encoder.keys) <= 20
+    assert len(asked) == 3 + 30 * 6  # each common one once
+
+
+@pytest.mark.parametrize("kind, base", [("up", textbytes._BASE), ("down", textbytes._BASE_INVERSE)])
+def test_long_runs_of_powers_are_those_of_the_kept_ones(monkeypatch, kind, base):
+    monkeypatch.setattr(textbytes, "_KEPT_POWERS", 10)
+    monkeypatch.setattr(textbytes, "_powers", {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)})
+    for n in (3, 10, 11, 37):
+        assert textbytes._power(kind, n)[:n].tolist() == [pow(int(base), k, 2**64) for k in range(n)]
+    assert len(textbytes._powers[kind]) == 10
+
+
 @pytest.mark.parametrize("n", [0, 1, 4, 1001])
 def test_packed_numbers_come_back(n):
     numbers = (np.random.default_rng(n).integers(0, 2**32, n) >> np.random.default_rng(n + 1).integers(0, 32, n)).astype(np.uint32)

@@ -57,19 +57,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-#: Powers that a worker keeps between slices; longer runs are computed for one slice and dropped.
+#: Powers that a worker keeps between slices; longer runs are made of them for one slice and dropped.
 _KEPT_POWERS = 2_000_000
 
 
 def _power(kind: str, n: int) -> np.ndarray:
+    base = _BASE if kind == "up" else _BASE_INVERSE
     have = _powers[kind]
-    if len(have) < n:
-        steps = np.full(max(n, min(2 * len(have), _KEPT_POWERS)), _BASE if kind == "up" else _BASE_INVERSE, np.uint64)
+    if len(have) < min(n, _KEPT_POWERS):
+        steps = np.full(max(min(n, _KEPT_POWERS), min(2 * len(have), _KEPT_POWERS)), base, np.uint64)
         steps[0] = 1
-        have = np.multiply.accumulate(steps)
-        if len(have) <= _KEPT_POWERS:
-            _powers[kind] = have
-    return have
+        have = _powers[kind] = np.multiply.accumulate(steps)
+    if n <= len(have):
+        return have
+    return np.concatenate([have * np.uint64(pow(int(base), low, 2**64)) for low in range(0, n, len(have))])
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

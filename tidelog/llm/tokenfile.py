@@ -27,8 +27,10 @@ from tidelog.session import shared_dir, written
 
 MAGIC = b"FRV1"
 SLICE_BYTES = 4_000_000
-#: Pieces that a worker remembers before it starts anew.
-REMEMBERED = 400_000
+#: Pieces that a worker remembers before it drops those that it has not seen again.
+REMEMBERED = 1_000_000
+#: Pieces that are encoded as one text.
+GROUP = 100
 #: A block is closed when it holds this many ids; a document is never split.
 BLOCK_IDS = 1_000_000
 
@@ -40,7 +42,7 @@ _KIND[(_codes >= 65) & (_codes <= 90) | (_codes >= 97) & (_codes <= 122)] = _LET
 _KIND[_codes >= 128] = _HIGH
 _KIND[39] = _GLUE
 _LOWER = np.where((_codes >= 65) & (_codes <= 90), _codes + 32, _codes).astype(np.uint8)
-_MARK = " \x01 "
+_MARK = b" \x01 "
 
 
 class PieceEncoder:
@@ -51,36 +53,55 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.encode(_MARK.strip(), add_special_tokens=False).ids
-        self.forget()
-
-    def forget(self) -> None:
+        self.mark = self.tokenizer.encode(_MARK.strip().decode(), add_special_tokens=False).ids
         self.keys = np.zeros(0, np.uint64)
         self.begin = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def _encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        joinable = len(self.mark) == 1
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        plain = [i for i, p in enumerate(pieces) if joinable and "\x01" not in p]
-        groups = [plain[i : i + 1000] for i in range(0, len(plain), 1000)]
-        texts = [_MARK.join(pieces[i] for i in g) for g in groups]
-        for group, encoding in zip(groups, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            parts = np.split(ids := np.array(encoding.ids, np.uint32), cuts := np.flatnonzero(ids == self.mark[0]))
-            if len(cuts) == len(group) - 1:
-                for i, part in zip(group, [parts[0], *[p[1:] for p in parts[1:]]]):
-                    out[i] = part
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, encoding in zip(rest, self.tokenizer.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False)):
-            out[i] = np.array(encoding.ids, np.uint32)
-        return out
+        self.count = np.zeros(0, np.int32)
+        self.uses = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+
+    def forget(self) -> None:
+        """Drops the pieces that one batch only had, and of the others the least used; later uses count twice as much."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > REMEMBERED // 2:
+            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[: REMEMBERED // 2]])
+        self.ids = self._ids_at(keep)
+        self.keys, self.count, self.uses = self.keys[keep], self.count[keep], self.uses[keep] // 2
+        self.begin = np.cumsum(self.count, dtype=np.int64) - self.count
+
+    def _ids_at(self, at: np.ndarray) -> np.ndarray:
+        """The ids of the remembered pieces ``at``, one after the other."""
+        counts = self.count[at]
+        total = np.cumsum(counts, dtype=np.int64)
+        return self.ids[np.repeat(self.begin[at] - (total - counts), counts) + np.arange(total[-1] if len(total) else 0)]
+
+    def _encode_pieces(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and the number of ids of each."""
+        groups = [pieces[i : i + GROUP] for i in range(0, len(pieces), GROUP)]
+        # A group is encoded as one text, unless the mark cannot be told from what the pieces hold.
+        texts = [_MARK.join(g) for g in groups]
+        joined = [len(self.mark) == 1 and t.count(_MARK.strip()) == len(g) - 1 for g, t in zip(groups, texts)]
+        encoded = iter(self.tokenizer.encode_batch_fast([t.decode() for t, j in zip(texts, joined) if j], add_special_tokens=False))
+        ids, counts = [], []
+        for group, together in zip(groups, joined):
+            if together:
+                found = np.array(next(encoded).ids, self.ids.dtype)
+                marks = found == self.mark[0]
+                sizes = np.diff(np.flatnonzero(marks), prepend=-1, append=len(found)) - 1
+                found, together = found[~marks], len(sizes) == len(group)
+            if not together:
+                apart = [e.ids for e in self.tokenizer.encode_batch_fast([p.decode() for p in group], add_special_tokens=False)]
+                found = np.array([i for one in apart for i in one], self.ids.dtype)
+                sizes = np.array([len(one) for one in apart])
+            ids.append(found)
+            counts.append(sizes.astype(np.int32))
+        return np.concatenate(ids), np.concatenate(counts)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all rows, and the number of ids of each row."""
         rows = len(offsets) - 1
         if not len(data):
-            return np.zeros(0, np.uint32), np.zeros(rows, np.int64)
+            return self.ids[:0], np.zeros(rows, np.int64)
         kind = _KIND[data]
         cut = np.zeros(len(data), bool)
         cut[1:] = (kind[1:] == _LETTER) & (kind[:-1] == _SIGN) | (kind[1:] == _SIGN) & (kind[:-1] == _LETTER)
@@ -103,21 +124,20 @@ class PieceEncoder:
         if not known.all():
             fresh = np.flatnonzero(~known)
             raw = lower.tobytes()
-            found = self._encode_pieces([raw[a:b].decode("utf-8") for a, b in zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist())])
-            counts = np.array([len(x) for x in found], np.int64)
-            begin = len(self.ids) + np.cumsum(counts) - counts
+            found, counts = self._encode_pieces([raw[a:b] for a, b in zip(starts[first[fresh]].tolist(), ends[first[fresh]].tolist())])
+            begin = len(self.ids) + np.cumsum(counts, dtype=np.int64) - counts
             keys = np.concatenate((self.keys, names[fresh]))
             order = np.argsort(keys, kind="stable")
             self.keys = keys[order]
             self.begin = np.concatenate((self.begin, begin))[order]
             self.count = np.concatenate((self.count, counts))[order]
-            self.ids = np.concatenate((self.ids, *found))
+            self.uses = np.concatenate((self.uses, np.zeros(len(fresh), np.int32)))[order]
+            self.ids = np.concatenate((self.ids, found))
             at = np.searchsorted(self.keys, names)
+        self.uses[at] += 1
         at = at[which]
-        counts = self.count[at]
-        total = np.cumsum(counts)
-        ids = self.ids[np.repeat(self.begin[at] - (total - counts), counts) + np.arange(total[-1] if len(total) else 0)]
-        per_row = np.bincount(piece_rows, counts, rows).astype(np.int64)
+        ids = self._ids_at(at)
+        per_row = np.bincount(piece_rows, self.count[at], rows).astype(np.int64)
         if len(self.keys) > REMEMBERED:
             self.forget()
         return ids, per_row
@@ -146,7 +166,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, end_id: int, dtype: s
         for whole in batches:
             for batch in slices(whole, 1, SLICE_BYTES):
                 ids, counts = encoder.encode(*column_bytes(batch.column(1)))
-                ids = np.insert(ids, np.cumsum(counts), end_id).astype(dtype)
+                ids = np.insert(ids.astype(dtype), np.cumsum(counts), end_id)
                 ends = np.concatenate(([0], np.cumsum(counts + 1))) * size
                 packed = pa.Array.from_buffers(pa.large_binary(), batch.num_rows, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ids)])
                 yield pa.RecordBatch.from_arrays([batch.column(0), packed.cast(pa.binary())], ["doc_id", "ids"])
