@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tests.test_streaming import SCHEMA, bucket, checkpoint, complete, put
 from tidelog.functions.scalars import MAX_OP_ID
 from tidelog.operators.queue import crud_scan, crud_transactions
+from tidelog.sources import upload as upload_source
 from tidelog.sources.state import StateStore
 from tidelog.sources.upload import UploadQueue, start_uploads
 from tidelog.streaming.feed import FeedApplier
@@ -75,6 +76,18 @@ def test_drain_stops_at_a_retry_and_discards_fatal_errors(spark, tmp_path, batch
     assert json.load(open(f"{log}/4-0")) == [4, 5, 6]
 
 
+def test_transactions_are_looked_for_once_for_all_batches(spark, tmp_path, monkeypatch):
+    queue, log, looked = loaded(spark, tmp_path / "q"), str(tmp_path / "log"), []
+    os.mkdir(log)
+    with_runs = upload_source.with_runs
+    monkeypatch.setattr(upload_source, "with_runs", lambda entries: looked.append(1) or with_runs(entries))
+    assert queue.drain(answering(log, {}), batch_entries=3) and len(looked) == 1
+    assert [f"{n}-0" for n in (0, 2, 3, 4, 7, 8)] == times(log)
+    assert queue.entries().isEmpty() and queue.outcomes().count() == 6
+    queue.append(changes(spark, 4))
+    assert queue.drain(answering(log, {}), batch_entries=3) and len(looked) == 2
+
+
 def test_nothing_is_lost_or_acknowledged_twice(spark, tmp_path, monkeypatch):
     queue, log = loaded(spark, tmp_path / "q"), str(tmp_path / "log")
     os.mkdir(log)

@@ -22,11 +22,14 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
 from tidelog.functions.scalars import MAX_OP_ID, is_fatal_error
-from tidelog.operators.queue import take_until_size, with_runs
-from tidelog.operators.skew import lookup_join, measured
+from tidelog.operators.ordered import scan_before
+from tidelog.operators.queue import with_runs
+from tidelog.operators.skew import lookup_join
+from tidelog.session import shared_dir, written
 from tidelog.sources.state import COMMIT_SCHEMA, StateStore, child_names, delete_paths
 
 ENTRIES = "id BIGINT, tx_id BIGINT, data STRING"
+PLANNED = "first_id BIGINT, taken_before BIGINT, id BIGINT, tx_id BIGINT, data STRING"
 UPLOADED = "first_id BIGINT, last_id BIGINT, tx_id BIGINT, n_entries BIGINT, error_code STRING"
 
 
@@ -157,13 +160,19 @@ class UploadQueue:
         When the queue is empty, ``write_checkpoint`` gives the target that the feed must reach, unless entries
         arrived meanwhile, and ``on_empty`` (such as ``FeedApplier.retry``) is called.
         """
-        while True:
-            with self._one_at_a_time:
-                version, paths = self.store.current()
-                if self._value(paths, "acked") >= self._value(paths, "high"):
-                    break
-                if not self._upload_batch(version, paths, upload, batch_entries, fatal):
-                    return False
+        planned, plan = None, ""
+        try:
+            while True:
+                with self._one_at_a_time:
+                    version, paths = self.store.current()
+                    if self._value(paths, "acked") >= self._value(paths, "high"):
+                        break
+                    if planned != (high := self._value(paths, "high")) and not self._has_results(paths):
+                        planned, plan = high, self._planned(paths, plan)
+                    if not self._upload_batch(version, paths, upload, batch_entries, fatal, plan):
+                        return False
+        finally:
+            delete_paths(self.spark, [plan] if plan else [])
         if write_checkpoint and self._value(paths, "target") == MAX_OP_ID:
             point = write_checkpoint()
             with self._one_at_a_time:
@@ -175,28 +184,53 @@ class UploadQueue:
             on_empty()
         return True
 
-    def _upload_batch(self, version: int, paths: dict[str, str], upload: Upload, batch_entries: int, fatal: Column | None) -> bool:
+    def _results(self, paths: dict[str, str]) -> str:
+        return f"{self.root}/results/acked={self._value(paths, 'acked')}-attempt={self._value(paths, 'attempt', 1)}"
+
+    def _has_results(self, paths: dict[str, str]) -> bool:
+        return "_SUCCESS" in child_names(self.spark, self._results(paths))
+
+    def _planned(self, paths: dict[str, str], old: str) -> str:
+        """Writes the waiting entries with their transactions, in order, and returns their folder.
+
+        ``taken_before`` has the entries before the transaction. The files are cut by id, so a batch reads those that hold it:
+        transactions are looked for once for all batches, not in the whole rest of the queue for each.
+        """
+        delete_paths(self.spark, [old] if old else [])
+        entries = self._entries(paths)
+        runs = written(with_runs(entries.select("id", "tx_id")), "upload-runs")
+        per_tx = runs.groupBy("tx_id", "run").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n_entries"))
+        taken = scan_before(per_tx, "first_id", sums={"taken_before": F.col("n_entries")})
+        taken = taken.select("first_id", "taken_before", "run", F.col("tx_id").alias("_tx"))
+        placed = lookup_join(runs, taken, ["run"], "inner", spread=F.xxhash64("id")).where(F.col("tx_id").eqNullSafe(F.col("_tx")))
+        placed = placed.select("id", "first_id", "taken_before")
+        rows = entries.join(placed, "id").select("first_id", "taken_before", "id", "tx_id", "data")
+        width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        plan = shared_dir(self.spark, "upload-plan")
+        rows.repartitionByRange(width, "taken_before", "id").sortWithinPartitions("taken_before", "id").write.parquet(plan)
+        return plan
+
+    def _upload_batch(
+        self, version: int, paths: dict[str, str], upload: Upload, batch_entries: int, fatal: Column | None, plan: str
+    ) -> bool:
         """Uploads the head of the queue and acknowledges it; False when a transaction must be tried again."""
         acked, attempt = self._value(paths, "acked"), self._value(paths, "attempt", 1)
-        results = f"{self.root}/results/acked={acked}-attempt={attempt}"
-        if "_SUCCESS" not in child_names(self.spark, results):
-            entries = self._entries(paths)
-            runs = with_runs(entries.select("id", "tx_id"))
-            per_tx = runs.groupBy("tx_id", "run").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("n_entries"))
-            head = measured(take_until_size(per_tx, batch_entries).select("first_id", "run", "tx_id", "last_id"), "upload-head")
-            last = head.frame.agg(F.max("last_id")).first()[0]
-            batch = runs.where(F.col("id") <= last).join(head.frame.select("first_id", "run", F.col("tx_id").alias("_tx")), "run")
-            batch = batch.where(F.col("tx_id").eqNullSafe(F.col("_tx"))).select("id", "first_id")
-            rows = entries.where(F.col("id") <= last).join(batch, "id").select("first_id", "id", "tx_id", "data")
+        results = self._results(paths)
+        if not self._has_results(paths):
+            waiting = self.spark.read.schema(PLANNED).parquet(plan).where(F.col("id") > acked)
+            start = waiting.agg(F.min("taken_before")).first()[0]
+            rows = waiting.where(F.col("taken_before").between(start, start + batch_entries - 1)).drop("taken_before")
             dealt = rows.repartition("first_id").sortWithinPartitions("first_id", "id")
             dealt.mapInArrow(lambda b: _uploaded(b, upload), UPLOADED).write.mode("overwrite").parquet(results)
         code = F.col("error_code")
         is_fatal = fatal if fatal is not None else is_fatal_error(code)
         outcome = F.when(code.isNull(), "completed").when(is_fatal, "discarded").otherwise("retry")
         done = self.spark.read.schema(UPLOADED).parquet(results).withColumn("outcome", outcome)
-        stuck = done.where("outcome = 'retry'").agg(F.min("first_id")).first()[0]
-        kept = done if stuck is None else done.where(F.col("first_id") < stuck)
-        upto = kept.agg(F.max("last_id")).first()[0]
+        stuck, upto = done.agg(F.min(F.when(F.col("outcome") == "retry", F.col("first_id"))), F.max("last_id")).first()
+        kept = done
+        if stuck is not None:
+            kept = done.where(F.col("first_id") < stuck)
+            upto = kept.agg(F.max("last_id")).first()[0]
         values: dict[str, str | None] = {"@attempt": str(attempt + (stuck is not None))}
         tables = {}
         if upto is not None:
